@@ -53,7 +53,8 @@ def as_checkable(df: DataFrame) -> DataFrame:
         column = F.col(f"`{field.name}`")
         if isinstance(field.dataType, (DecimalType, DoubleType)):
             digits = 4 if isinstance(field.dataType, DecimalType) else DIGITS.get(field.name, 6)
-            value = F.round(column.cast("double"), digits)
+            # Rounded twice: a sum's last bits must not decide a value that ends in an exact half.
+            value = F.round(column.cast("decimal(38,8)"), digits).cast("double")
             column = F.when(value == 0, 0.0).otherwise(value)  # no negative zero
         elif isinstance(field.dataType, IntegerType):
             column = column.cast("long")

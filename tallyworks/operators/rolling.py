@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyworks.operators.skew import HotSplit, hot_key_cuts, tag_slices
+from tallyworks.operators.skew import tag_slices
 
 
 def rolling_sum(
@@ -17,28 +17,27 @@ def rolling_sum(
     value: str,
     preceding: int,
     out: str,
-    *,
-    split: HotSplit = HotSplit(),
     cuts: DataFrame | None = None,
-    keep_slice: bool = False,
 ) -> DataFrame:
     """Sum of ``value`` over the current row and the ``preceding`` rows before it in its key.
 
-    Hot keys are cut into slices. The last rows of each slice are repeated as a halo in front of
-    the slices that still reach back to them, so every sum sees exactly its own rows.
+    ``cuts`` (from ``hot_key_cuts``) splits hot keys into slices, and ``_slice`` is kept in the
+    result. The last rows of each slice are repeated as a halo in front of the slices that still
+    reach back to them, so every sum sees exactly its own rows.
     """
     if cuts is None:
-        cuts = hot_key_cuts(df, keys, order_by, split)
+        frame = Window.partitionBy(*keys).orderBy(*order_by).rowsBetween(-preceding, 0)
+        return df.withColumn(out, F.sum(value).over(frame))
     body = tag_slices(df, keys, order_by, cuts, "left").withColumn("_halo", F.lit(False))
     needed = list(dict.fromkeys([*keys, *order_by, value]))
     halo = _halo(tag_slices(df.select(*needed), keys, order_by, cuts, "inner"), keys, order_by, preceding)
     frame = Window.partitionBy(*keys, "_slice").orderBy(*order_by).rowsBetween(-preceding, 0)
-    summed = (
+    return (
         body.unionByName(halo, allowMissingColumns=True)
         .withColumn(out, F.sum(value).over(frame))
         .filter(~F.col("_halo"))
+        .drop("_halo")
     )
-    return summed.drop("_halo") if keep_slice else summed.drop("_halo", "_slice")
 
 
 def _halo(hot_rows: DataFrame, keys: Sequence[str], order_by: Sequence[str], preceding: int) -> DataFrame:

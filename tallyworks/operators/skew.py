@@ -36,15 +36,22 @@ def _order_tuple(order_by: Sequence[str]) -> Column:
     return F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order_by)])
 
 
-def hot_key_cuts(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], split: HotSplit) -> DataFrame:
+def hot_key_cuts(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], split: HotSplit
+) -> DataFrame | None:
     """One row per hot key: ``_k_<key>`` columns and ``_cuts``, its sorted cut points.
 
-    Cut points are order tuples picked by hash, so a rerun picks the same ones. Without hot keys
-    the adaptive planner drops every branch that joins this table; what remains is one count.
+    None if no key is hot, so that the caller can plan a plain window. Finding out is one count by
+    key, run at once: it reads the key columns only, and fewer than 1 / share rows come back.
+    Cut points are order tuples picked by hash, so a rerun picks the same ones.
     """
     counts = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("_rows"))
     total = counts.agg(F.sum("_rows")).scalar()
     hot = counts.filter((F.col("_rows") > split.floor) & (F.col("_rows") > total * split.share))
+    found = hot.collect()
+    if not found:
+        return None
+    hot = df.sparkSession.createDataFrame(found, hot.schema)
     every = F.ceil(F.col("_rows") / split.slices)
     picked = df.select(*keys, _order_tuple(order_by).alias("_order")).join(
         F.broadcast(hot), _same(keys, "_k_"), "inner"

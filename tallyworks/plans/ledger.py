@@ -12,6 +12,7 @@ from tallyworks.operators import HotSplit, hot_key_cuts, rolling_sum, spread_ove
 from tallyworks.rules import LedgerRules, RiskRules
 from tallyworks.schemas import RAW_TRANSACTIONS
 
+SOURCE = ["source_account_id"]
 ROLLING_ORDER = ("transaction_timestamp", "trx_uuid", "amount_base_currency")
 
 
@@ -33,19 +34,18 @@ def ledger_rows(day: DataFrame, rules: LedgerRules = LedgerRules()) -> DataFrame
     )
 
 
-def with_rolling_amount(df: DataFrame, rules: LedgerRules = LedgerRules(), split: HotSplit = HotSplit()) -> DataFrame:
-    """Per source account: the sum over the current and the 10 preceding transactions (11 rows)."""
+def _rolled(rows: DataFrame, cuts: DataFrame | None, rules: LedgerRules) -> DataFrame:
+    amount = "amount_base_currency"
     return rolling_sum(
-        df,
-        ["source_account_id"],
-        ROLLING_ORDER,
-        "amount_base_currency",
-        rules.rolling_preceding,
-        "rolling_10_trx_amount",
-        split=split,
+        rows, SOURCE, ROLLING_ORDER, amount, rules.rolling_preceding, "rolling_10_trx_amount", cuts
     )
 
 
+def with_rolling_amount(df: DataFrame, rules: LedgerRules = LedgerRules(), split: HotSplit = HotSplit()) -> DataFrame:
+    """Per source account: the sum over the current and the 10 preceding transactions (11 rows)."""
+    return _rolled(df, hot_key_cuts(df, SOURCE, ROLLING_ORDER, split), rules).select(*df.columns, "rolling_10_trx_amount")
+
+
 def enrich_ledger(
     raw: DataFrame,
     accounts: DataFrame,
@@ -61,25 +61,19 @@ def enrich_ledger(
     account and slice.
     """
     facts = ledger_rows(day_slice(raw, run_date), rules)
-    cuts = hot_key_cuts(facts, ["source_account_id"], ROLLING_ORDER, split)
-    rolled = rolling_sum(
-        facts,
-        ["source_account_id"],
-        ROLLING_ORDER,
-        "amount_base_currency",
-        rules.rolling_preceding,
-        "rolling_10_trx_amount",
-        cuts=cuts,
-        keep_slice=True,
-    )
+    cuts = hot_key_cuts(facts, SOURCE, ROLLING_ORDER, split)
+    rolled = _rolled(facts, cuts, rules)
     owners = (
         accounts.select(F.col("account_id").alias("source_account_id"), "region_id", "customer_id")
         .join(customers.select("customer_id", "customer_segment", "kyc_status", F.lit(True).alias("_known")), "customer_id", "left")
         .withColumn("customer_id", F.when(F.col("_known"), F.col("customer_id")))
         .drop("_known")
     )
-    owners = spread_over_slices(owners, ["source_account_id"], cuts)
-    return with_normalized_amount(rolled.join(owners, ["source_account_id", "_slice"], "left")).select(
+    if cuts is None:
+        joined = rolled.join(owners, SOURCE, "left")
+    else:
+        joined = rolled.join(spread_over_slices(owners, SOURCE, cuts), [*SOURCE, "_slice"], "left")
+    return with_normalized_amount(joined).select(
         "trx_uuid",
         "source_account_id",
         "destination_account_id",

@@ -7,7 +7,8 @@ a partition that holds most of the rows is written by many tasks.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -62,10 +63,23 @@ def ensure_table(
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {fmt} {partitioned} {place}")
 
 
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """Catalog tables take the overwrite mode from the session only; a writer option is ignored."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _insert(df: DataFrame, table: str, mode: str, parts: Sequence[str]) -> int:
     columns = df.sparkSession.table(table).columns
     counted, observation = _counted(_rebalanced(df.select(*columns), parts))
-    counted.write.mode(mode).option("partitionOverwriteMode", "dynamic").insertInto(table)
+    with _dynamic_overwrite(df.sparkSession):
+        counted.write.mode(mode).insertInto(table)
     return observation.get["rows"]
 
 
