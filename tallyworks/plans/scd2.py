@@ -121,11 +121,16 @@ def _versions(changes: DataFrame, run_date: dt.date, attributes: Sequence[str],
     return changes.select(F.inline(rows))
 
 
+def scd2_day_rows(changes: DataFrame, run_date: dt.date, attributes: Sequence[str] = ATTRIBUTES) -> DataFrame:
+    """The retired and the new rows of a day together."""
+    return _versions(changes, run_date, attributes, unchanged=False)
+
+
 def scd2_append(
     dim: DataFrame, changes: DataFrame, run_date: dt.date, attributes: Sequence[str] = ATTRIBUTES
 ) -> DataFrame:
     """The table after appending retired and new rows; superseded active rows stay in place."""
-    return dim.select(*CUSTOMER_SCD2.names).unionByName(_versions(changes, run_date, attributes, unchanged=False))
+    return dim.select(*CUSTOMER_SCD2.names).unionByName(scd2_day_rows(changes, run_date, attributes))
 
 
 def scd2_apply(

@@ -64,11 +64,11 @@ def ensure_table(
 
 
 @contextmanager
-def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    """Catalog tables take the overwrite mode from the session only; a writer option is ignored."""
+def _overwrite_mode(spark: SparkSession, mode: str) -> Iterator[None]:
+    """Catalog tables take the mode from the session; a writer option is ignored or would stick."""
     key = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
+    spark.conf.set(key, mode)
     try:
         yield
     finally:
@@ -78,7 +78,7 @@ def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
 def _insert(df: DataFrame, table: str, mode: str, parts: Sequence[str]) -> int:
     columns = df.sparkSession.table(table).columns
     counted, observation = _counted(_rebalanced(df.select(*columns), parts))
-    with _dynamic_overwrite(df.sparkSession):
+    with _overwrite_mode(df.sparkSession, "dynamic"):
         counted.write.mode(mode).insertInto(table)
     return observation.get["rows"]
 
@@ -98,10 +98,13 @@ def replace_table(
 ) -> int:
     """Rebuild a whole table; partitions that are not in ``df`` are gone afterwards."""
     counted, observation = _counted(_rebalanced(df, parts))
-    writer = counted.write.format(fmt).mode("overwrite").partitionBy(*parts)
+    writer = counted.write.format(fmt).mode("overwrite")
+    if parts:
+        writer = writer.partitionBy(*parts)
     if location:
         writer = writer.option("path", location)
-    writer.saveAsTable(table)
+    with _overwrite_mode(df.sparkSession, "static"):
+        writer.saveAsTable(table)
     return observation.get["rows"]
 
 
