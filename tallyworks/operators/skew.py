@@ -27,6 +27,10 @@ class HotSplit:
     floor: int = 1_000_000
     slices: int = 64
 
+    def __post_init__(self) -> None:
+        if not 1e-4 <= self.share < 1:
+            raise ValueError("share must be at least 0.0001: it bounds the number of hot keys")
+
 
 def _same(keys: Sequence[str], prefix: str) -> Column:
     return reduce(and_, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])

@@ -71,6 +71,11 @@ def test_no_hot_key_means_no_slices(spark):
     assert "_slice" not in rolling_sum(df, ["k"], ["ts", "id"], "amount", 3, "s").columns
 
 
+def test_the_number_of_hot_keys_is_bounded():
+    with pytest.raises(ValueError):
+        HotSplit(share=0.0)
+
+
 def test_dimension_rows_reach_every_slice(spark):
     df = spark.createDataFrame(skewed_rows(600, 3, False), "k int, ts timestamp, id string, amount long")
     cuts = hot_key_cuts(df, ["k"], ["ts", "id"], ALWAYS_HOT)
