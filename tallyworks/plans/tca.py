@@ -243,6 +243,23 @@ def with_opportunity_cost(df: DataFrame) -> DataFrame:
     return df.withColumn("opportunity_cost_pl", _by_side(missed * (paid - closing), missed * (closing - paid)))
 
 
+def _within_reach(orders: DataFrame, quotes: DataFrame, trades: DataFrame, rules: TcaRules):
+    """Quotes and trades of the time the orders span, as literal bounds that skip files and row groups."""
+    start, end = F.col("EffectiveStartTime"), F.col("EffectiveEndTime")
+    back = F.expr(f"INTERVAL {rules.quote_lookback_minutes} MINUTES")
+    oldest, newest = orders.agg(
+        F.unix_micros(F.min(F.least(start, end)) - back),
+        F.unix_micros(F.max(F.greatest(start, end)) + F.expr("INTERVAL 1 MINUTES")),
+    ).first()
+    if oldest is None:
+        return quotes, trades
+
+    def inside(ticks: DataFrame, ts: str) -> DataFrame:
+        return ticks.filter(F.col(ts).between(F.timestamp_micros(F.lit(oldest)), F.timestamp_micros(F.lit(newest))))
+
+    return inside(quotes, "quote_timestamp"), inside(trades, "trade_timestamp")
+
+
 def tca_report(
     parents: DataFrame,
     events: DataFrame,
@@ -252,14 +269,18 @@ def tca_report(
     rules: TcaRules = TcaRules(),
     hours: SessionHours = SessionHours(),
     tie_break: Sequence[str] = (),
-    stage: Callable[[DataFrame], DataFrame] = lambda orders: orders,
+    stage: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """One row per parent order with its lifecycle, market context and cost measures.
 
-    The enriched orders feed three branches. ``stage`` may write them to a table and read it back,
-    so the event log is aggregated once and lost executors do not bring it back.
+    The enriched orders feed three branches. With ``stage`` they are written to a table and read back:
+    the event log is aggregated once, lost executors do not bring it back, and of the ticks only the
+    time the orders span is read.
     """
-    orders = stage(effective_window(order_lifecycle(parents, events, rules, tie_break), run_date, hours))
+    orders = effective_window(order_lifecycle(parents, events, rules, tie_break), run_date, hours)
+    if stage is not None:
+        orders = stage(orders)
+        quotes, trades = _within_reach(orders, quotes, trades, rules)
     report = orders.join(market_interval_vwap(orders, trades), list(ORDER_KEYS), "left").join(
         asof_quotes(orders, quotes, rules).drop("end_quote_timestamp", "end_plus1_quote_timestamp"),
         list(ORDER_KEYS),
