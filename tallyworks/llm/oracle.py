@@ -36,8 +36,30 @@ FROM t WINDOW g AS (PARTITION BY text_sha256)
 """
 
 
+_JACCARD = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + least(len(w), 5) - 1], ' ') AS g
+  FROM (SELECT *, unnest(range(1, len(w) - least(len(w), 5) + 2)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+linked AS (
+  SELECT p.a, p.b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2) p
+  JOIN n na ON na.doc_id = p.a JOIN n nb ON nb.doc_id = p.b
+  WHERE 100 * common >= 75 * (na.n + nb.n - common)),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT r.doc_id, l.b FROM reach r JOIN linked l ON l.a = r.other)
+SELECT doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(other) AS component_id
+FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op6_benchmark_decontamination": _DECONTAMINATION,
         "op9_exact_dedup": _EXACT,
+        "op10_ngram_jaccard_join": _JACCARD,
     }

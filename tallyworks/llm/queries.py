@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.llm import decontamination, exact, packing
+from tallyworks.llm import decontamination, exact, jaccard, packing
 from tallyworks.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -35,6 +35,10 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.duplicate_groups(table(spark, sf_dir, "documents"))
 
 
+def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents")).drop("vertex", "group")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [f for name, f in globals().items() if name.startswith("op") and callable(f)]
     return {f.__name__: f for f in own}
