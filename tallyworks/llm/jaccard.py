@@ -36,8 +36,10 @@ from tallyworks.llm.components import components
 SIZE = 5
 BITS = 18
 MOST = 8
-#: Rounds against one hub per shingle before the rest is compared in full.
-ROUNDS = 2
+#: Most rounds against HUBS hubs per shingle before the rest is compared in full; they end earlier once a
+#: round merges less than a hundredth of what has merged so far.
+ROUNDS = 4
+HUBS = 3
 _CLASSES = 8
 _SALT = np.uint64(0xD6E8FEB86659FD93)
 
@@ -160,16 +162,15 @@ def _within_reach(a: str, b: str) -> Column:
     )
 
 
-def _candidates(met: DataFrame, a: str, b: str) -> DataFrame:
-    """Pairs that share as many tokens as the smaller of their l; both sides are structs of a token's entry."""
-    return (
-        met.where(_within_reach(a, b))
-        .groupBy(F.col(f"{a}.vertex").alias("a"), F.col(f"{b}.vertex").alias("b"))
-        .agg(F.count(F.lit(1)).alias("shared"), F.min(F.least(F.col(f"{a}.matches"), F.col(f"{b}.matches"))).alias("wanted"))
-        .where("shared >= wanted")
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
+def _candidates(met: DataFrame, tried: DataFrame | None, enough: int, *also: str) -> DataFrame:
+    """Pairs (a, b, shared) that share as many tokens as the smaller of their l, or ``enough``."""
+    pairs = (
+        met.where(_within_reach("x", "y"))
+        .groupBy(F.col("x.vertex").alias("a"), F.col("y.vertex").alias("b"), *also)
+        .agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("x.matches", "y.matches")).alias("wanted"))
+        .where(F.col("shared") >= F.least(F.col("wanted"), F.lit(enough)))
     )
+    return pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
 
 
 def _linked(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
@@ -190,11 +191,10 @@ def _linked(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     return map_arrow(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b"), compare, "a long, b long")
 
 
-def _merged(entries: DataFrame, linked: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Entries relabelled by the components that ``linked`` (pairs of components) make, and the relabelling."""
-    moved = components(linked)
-    entries = entries.join(moved.select(F.col("u").alias("group"), F.col("v").alias("_to")), "group", "left")
-    return entries.withColumn("group", F.coalesce("_to", "group")).drop("_to"), moved
+def _moved(rows: DataFrame, moved: DataFrame) -> DataFrame:
+    """``rows`` with each component replaced by the one it went into."""
+    to = moved.select(F.col("u").alias("group"), F.col("v").alias("_to"))
+    return rows.join(to, "group", "left").withColumn("group", F.coalesce("_to", "group")).drop("_to")
 
 
 def _open(entries: DataFrame) -> DataFrame:
@@ -214,35 +214,48 @@ def linked_groups(docs: DataFrame, text_col: str = "text", size: int = SIZE, rou
     keyed = with_sets(source, size=size).where("vertex IS NOT NULL").groupBy("vertex").agg(F.max("text").alias("text"))
     texts = saved(keyed.join(wanted, "vertex", "left_semi"), "texts")
 
-    groups, tried = None, None
-    for number in range(rounds + 1):
-        entry = F.struct("vertex", "n", "place", "matches", "group")
-        each = entries.select("token", entry.alias("x"))
-        if number < rounds:
-            first = F.min(F.struct(F.xxhash64("vertex", F.lit(number)).alias("_rank"), entry.alias("y")))
-            hubs = entries.groupBy("token").agg(first.alias("_hub")).select("token", "_hub.y")
-            met = each.join(hubs, "token").where("x.group <> y.group")
-        else:
-            main = entries.groupBy("token", "group").count().groupBy("token").agg(F.max_by("group", "count").alias("_main"))
-            sides = entries.join(main, "token").select("token", entry.alias("y"), (F.col("group") == F.col("_main")).alias("_in_main"))
-            rest = sides.where("NOT _in_main").select("token", F.col("y").alias("x"))
-            met = rest.join(sides, "token").where("x.group <> y.group AND (_in_main OR x.vertex < y.vertex)")
-        pairs = _candidates(met, "x", "y")
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+    groups = tried = None
+    merged = 0
+    for number in range(rounds):
+        ranked = [F.min(F.struct(F.xxhash64("vertex", F.lit(number * HUBS + k)), _entry("y"))) for k in range(HUBS)]
+        hubs = entries.groupBy("token").agg(F.array(*ranked).alias("_hubs"))
+        met = entries.select("token", _entry("x")).join(hubs, "token")
+        met = met.select("x", F.posexplode("_hubs").alias("_slot", "_hub")).select("x", "_slot", "_hub.y").where("x.group <> y.group")
+        # A hub may stand for some of the shared tokens only, so few are enough; one pair per vertex and slot.
+        best = F.max_by("b", F.struct("shared", "b")).alias("b")
+        pairs = _candidates(met, tried, 2, "_slot").groupBy("a", "_slot").agg(best).select("a", "b").distinct()
         pairs = saved(pairs, "pairs")
         tried = pairs if tried is None else tried.union(pairs)
-        linked = _linked(pairs, texts, size)
-        label = groups
-        if label is not None:
-            for name in ("a", "b"):
-                to = label.select(F.col("vertex").alias(name), F.col("group").alias("_to"))
-                linked = linked.join(to, name, "left").withColumn(name, F.coalesce("_to", name)).drop("_to")
-        entries, moved = _merged(entries, linked.select(F.col("a").alias("u"), F.col("b").alias("v")))
+        moved = components(_as_groups(_linked(pairs, texts, size), groups))
+        new = moved.count()
+        if not new:
+            break
+        merged += new
         groups = _relabelled(groups, moved)
-        if number < rounds:
-            entries = saved(_open(entries), "entries")
-    return groups
+        entries = saved(_open(_moved(entries, moved)), "entries")
+        if 100 * new < merged:
+            break
+
+    # What still meets in several components: all vertices outside a token's main component with all others.
+    main = entries.groupBy("token", "group").count().groupBy("token").agg(F.max_by("group", "count").alias("_main"))
+    sides = entries.join(main, "token").select("token", _entry("y"), (F.col("group") == F.col("_main")).alias("_in_main"))
+    rest = sides.where("NOT _in_main").select("token", F.col("y").alias("x"))
+    met = rest.join(sides, "token").where("x.group <> y.group AND (_in_main OR x.vertex < y.vertex)")
+    pairs = saved(_candidates(met, tried, MOST), "pairs")
+    moved = components(_as_groups(_linked(pairs, texts, size), groups))
+    return _relabelled(groups, moved)
+
+
+def _entry(name: str) -> Column:
+    return F.struct("vertex", "n", "place", "matches", "group").alias(name)
+
+
+def _as_groups(pairs: DataFrame, groups: DataFrame | None) -> DataFrame:
+    """Linked vertices as linked components."""
+    for name in ("a", "b") if groups is not None else ():
+        to = groups.select(F.col("vertex").alias(name), F.col("group").alias("_to"))
+        pairs = pairs.join(to, name, "left").withColumn(name, F.coalesce("_to", name)).drop("_to")
+    return pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
 def _relabelled(groups: DataFrame | None, moved: DataFrame) -> DataFrame:
@@ -250,8 +263,7 @@ def _relabelled(groups: DataFrame | None, moved: DataFrame) -> DataFrame:
     new = moved.select(F.col("u").alias("vertex"), F.col("v").alias("group"))
     if groups is None:
         return new
-    to = moved.select(F.col("u").alias("group"), F.col("v").alias("_to"))
-    old = groups.join(to, "group", "left").select("vertex", F.coalesce("_to", "group").alias("group"))
+    old = _moved(groups, moved).select("vertex", "group")
     return saved(old.union(new.join(old, "vertex", "left_anti")), "groups")
 
 
