@@ -35,6 +35,7 @@ class Words(NamedTuple):
     start: np.ndarray  # byte offsets in the data
     end: np.ndarray
     data: np.ndarray  # lower-cased bytes
+    prefix: np.ndarray  # uint64, a column for each prefix length asked for
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -78,11 +79,11 @@ def _power(kind: str, n: int) -> np.ndarray:
     return have[:n]
 
 
-def words(data: np.ndarray, offsets: np.ndarray, word_bytes: np.ndarray, prefix: int = 0) -> Words:
-    """All words in order; with ``prefix``, hashes of their first bytes instead of the whole words."""
+def words(data: np.ndarray, offsets: np.ndarray, word_bytes: np.ndarray, prefixes: tuple[int, ...] = ()) -> Words:
+    """All words in order; ``prefixes`` asks for hashes of so many first bytes of each as well."""
     data = LOWER_CASE[data]
     size = len(data)
-    hashes, starts, ends = [], [], []
+    hashes, starts, ends, firsts = [], [], [], []
     low = 0
     while low < size:
         high = min(size, low + BLOCK)
@@ -99,17 +100,20 @@ def words(data: np.ndarray, offsets: np.ndarray, word_bytes: np.ndarray, prefix:
         edges = edges[edges > 0] - 1
         last[edges] = inside[edges]
         start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
-        stop = np.minimum(end, start + prefix) if prefix else end
         total = np.zeros(len(block) + 1, np.uint64)
         np.cumsum((block + np.uint64(1)) * _power("step", len(block)), out=total[1:])
-        hashes.append(mix((total[stop] - total[start]) * _power("back", len(block) + 1)[start]))
+        before, back = total[start], _power("back", len(block) + 1)[start]
+        hashes.append(mix((total[end] - before) * back))
+        if prefixes:
+            firsts.append(np.stack([mix((total[np.minimum(end, start + n)] - before) * back + np.uint64(n)) for n in prefixes], 1))
         starts.append(start + low)
         ends.append(end + low)
         low = high
     join = lambda parts, kind: np.concatenate(parts) if parts else np.empty(0, kind)
     start = join(starts, np.int64)
     row = np.searchsorted(offsets, start, "right") - 1
-    return Words(join(hashes, np.uint64), row, start, join(ends, np.int64), data)
+    first = np.concatenate(firsts) if firsts else np.empty((len(start), len(prefixes)), np.uint64)
+    return Words(join(hashes, np.uint64), row, start, join(ends, np.int64), data, first)
 
 
 def _between_words(data: np.ndarray, offsets: np.ndarray, word_bytes: np.ndarray, low: int, high: int) -> int:
