@@ -5,16 +5,28 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyworks.llm import decontamination, exact, packing
-from tallyworks.llm.common import saved, table
-from tallyworks.llm.queries import TOKENIZER
+from tallyworks.llm import decontamination, exact, jaccard, packing
+from tallyworks.llm import toxicity as tox
+from tallyworks.llm.common import free_name, saved, table
+from tallyworks.llm.queries import TOKENIZER, TOXIC
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    score = free_name(docs, "_score")
+    model = tox.fit(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return tox.score(docs, model, score_col=score).where(F.col(score) < TOXIC).drop(score)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact.deduplicate(docs)
 
 
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard.deduplicate(docs)
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontamination.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
@@ -24,7 +36,9 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", toxicity),
     ("exact_dedup", exact_dedup),
+    ("ngram_jaccard_join", ngram_jaccard_join),
     ("benchmark_decontamination", benchmark_decontamination),
     ("best_fit_packing", best_fit_packing),
 ]

@@ -57,8 +57,28 @@ FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id
 """
 
 
+_CHAT = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT * FROM (VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok'))),
+o AS (
+  SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS earlier,
+         length(replace(replace(replace(text, '\', '##'), '<', '##'), '>', '##')) AS text_chars,
+         length(replace(replace(replace(role, '\', '##'), '<', '##'), '>', '##')) AS role_chars
+  FROM t)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(text_chars + CASE WHEN earlier IS NOT DISTINCT FROM role THEN 3 ELSE 14 + role_chars END) AS BIGINT) AS formatted_chars
+FROM o GROUP BY conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_chat_formatting": _CHAT,
         "op6_benchmark_decontamination": _DECONTAMINATION,
         "op9_exact_dedup": _EXACT,
         "op10_ngram_jaccard_join": _JACCARD,
