@@ -8,7 +8,9 @@ as often as the smaller l of the two says before its whole texts are compared.
 
 Equal sets are one vertex. Candidates are not expanded into all pairs: for each shingle, rounds compare
 every vertex with one hub and merge what is linked, and only vertices that are then still in different
-components are compared with each other. So no link between components is missed, and a group of
+components are compared with each other. A candidate first has to pass a comparison of 256-byte sketches, the
+parities of its shingles in SKETCH buckets: sets differ in at least as many shingles as sketches in
+bits, so no link is lost there either. So no link between components is missed, and a group of
 thousands of near copies costs about one comparison each.
 
 Frequencies come from a table of ``1 << BITS`` counters over the shingles of all documents; they only decide
@@ -36,10 +38,11 @@ from tallyworks.llm.components import components
 SIZE = 5
 BITS = 18
 MOST = 8
-#: Most rounds against HUBS hubs per shingle before the rest is compared in full; they end earlier once a
-#: round merges less than a hundredth of what has merged so far.
-ROUNDS = 4
-HUBS = 3
+#: Hubs per shingle in each round before the rest is compared in full. In the last round only vertices outside a
+#: shingle's main component look for hubs.
+ROUNDS = (3, 3, 16)
+#: Bits of a set's sketch.
+SKETCH = 2048
 _CLASSES = 8
 _SALT = np.uint64(0xD6E8FEB86659FD93)
 
@@ -64,17 +67,33 @@ def _vertices(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return W.mix(total[bounds[1:]] - total[bounds[:-1]] + np.diff(bounds).astype(np.uint64)).view(np.int64)
 
 
-def with_sets(docs: DataFrame, text_col: str = "text", size: int = SIZE, vertex: str = "vertex", count: str = "n_shingles") -> DataFrame:
-    """``docs`` with the number of distinct shingles and a hash of the whole set (null if empty)."""
+def _sketches(hashes: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """Parities of each set's shingles by bucket, packed."""
+    bucket = (hashes & np.uint64(SKETCH - 1)).astype(np.int64)
+    out: list[bytes] = []
+    for low in range(0, len(bounds) - 1, 1000):
+        part = bounds[low : low + 1001]
+        row = np.repeat(np.arange(len(part) - 1), np.diff(part))
+        odd = np.bincount(row * SKETCH + bucket[part[0] : part[-1]], minlength=(len(part) - 1) * SKETCH) & 1
+        out += [x.tobytes() for x in np.packbits(odd.astype(np.uint8).reshape(-1, SKETCH), axis=1)]
+    return out
+
+
+def with_sets(
+    docs: DataFrame, text_col: str = "text", size: int = SIZE, vertex: str = "vertex", count: str = "n_shingles", sketch: str | None = None
+) -> DataFrame:
+    """``docs`` with the number of distinct shingles, a hash of the whole set (null if empty) and, if asked for, its sketch."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in W.slices(whole, text_col)):
             hashes, bounds = shingle_sets(batch.column(text_col), size)
             n = np.diff(bounds)
             found = [pa.array(_vertices(hashes, bounds), mask=n == 0), pa.array(n)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *found], [*batch.schema.names, vertex, count])
+            found += [pa.array(_sketches(hashes, bounds), pa.binary())] if sketch else []
+            yield pa.RecordBatch.from_arrays([*batch.columns, *found], [*batch.schema.names, *(f.name for f in new)])
 
     new = [T.StructField(vertex, T.LongType()), T.StructField(count, T.LongType())]
+    new += [T.StructField(sketch, T.BinaryType())] if sketch else []
     return map_arrow(docs, add, T.StructType([*docs.schema.fields, *new]))
 
 
@@ -106,7 +125,8 @@ def _matches(n: np.ndarray, begins: np.ndarray, bounds: np.ndarray, partners: np
     cost = []
     for wanted in range(1, MOST + 1):
         length = n // 4 + wanted
-        seen = partners[np.minimum(begins + length, bounds[1:])] - partners[begins]
+        # a partner of like size looks at this much of the prefix
+        seen = partners[np.minimum(begins + n // 7 + wanted, bounds[1:])] - partners[begins]
         cost.append(length + seen + (0.05 * n + 5) * seen / wanted)
     return np.minimum(1 + np.argmin(cost, axis=0), np.maximum(n - n // 4, 1))
 
@@ -167,15 +187,22 @@ def _candidates(met: DataFrame, tried: DataFrame | None, enough: int, *also: str
     pairs = (
         met.where(_within_reach("x", "y"))
         .groupBy(F.col("x.vertex").alias("a"), F.col("y.vertex").alias("b"), *also)
-        .agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("x.matches", "y.matches")).alias("wanted"))
+        .agg(F.sum(F.greatest("x.weight", "y.weight")).alias("shared"), F.min(F.least("x.matches", "y.matches")).alias("wanted"))
         .where(F.col("shared") >= F.least(F.col("wanted"), F.lit(enough)))
     )
     return pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
 
 
-def _linked(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+def _linked(pairs: DataFrame, sets: DataFrame, size: int) -> DataFrame:
     """The pairs whose whole texts reach the similarity."""
 
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, other = (np.frombuffer(b"".join(batch.column(f"sketch_{x}").to_pylist()), np.uint64).reshape(-1, SKETCH // 64) for x in "ab")
+            both = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            keep = np.bitwise_count(one ^ other).sum(axis=1, dtype=np.int64) <= both - 2 * ((3 * both + 6) // 7)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep))
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in W.slices(whole, "text_a")):
             one, at = shingle_sets(batch.column("text_a"), size)
@@ -187,8 +214,13 @@ def _linked(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
                 keep.append(100 * both >= 75 * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    side = lambda name: texts.select(F.col("vertex").alias(name), F.col("text").alias(f"text_{name}"))
-    return map_arrow(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b"), compare, "a long, b long")
+    def joined(rows: DataFrame, *columns: str) -> DataFrame:
+        for x in "ab":
+            rows = rows.join(sets.select(F.col("vertex").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in columns)), x)
+        return rows
+
+    close = saved(map_arrow(joined(pairs.select("a", "b"), "n", "sketch"), near, "a long, b long"), "close")
+    return map_arrow(joined(close, "text").select("a", "b", "text_a", "text_b"), compare, "a long, b long")
 
 
 def _moved(rows: DataFrame, moved: DataFrame) -> DataFrame:
@@ -203,51 +235,68 @@ def _open(entries: DataFrame) -> DataFrame:
     return entries.join(split, "token", "left_semi")
 
 
-def linked_groups(docs: DataFrame, text_col: str = "text", size: int = SIZE, rounds: int = ROUNDS) -> DataFrame:
+def linked_groups(docs: DataFrame, text_col: str = "text", size: int = SIZE, rounds: tuple[int, ...] = ROUNDS) -> DataFrame:
     """(vertex, group): the component of every vertex that is linked with another one of a smaller number."""
     source = docs.select(F.col(text_col).alias("text"))
     classes = docs.sparkSession.sparkContext.broadcast(frequency_classes(source, size=size))
     tokens = prefixes(source, classes, size=size)
     common = tokens.groupBy("token").agg(F.min("vertex").alias("_low"), F.max("vertex").alias("_high")).where("_low <> _high")
-    entries = saved(_unpacked(tokens.join(common, "token", "left_semi").distinct()), "entries").withColumn("group", F.col("vertex"))
+    entries = saved(_unpacked(tokens.join(common, "token", "left_semi").distinct()), "entries")
+    entries = entries.withColumns({"group": F.col("vertex"), "weight": F.lit(1).cast("long")})
     wanted = entries.select("vertex").distinct()
-    keyed = with_sets(source, size=size).where("vertex IS NOT NULL").groupBy("vertex").agg(F.max("text").alias("text"))
-    texts = saved(keyed.join(wanted, "vertex", "left_semi"), "texts")
+    keyed = with_sets(source, size=size, sketch="sketch").where("vertex IS NOT NULL").groupBy("vertex")
+    keyed = keyed.agg(F.max("n_shingles").alias("n"), F.max("sketch").alias("sketch"), F.max("text").alias("text"))
+    sets = saved(keyed.join(wanted, "vertex", "left_semi"), "sets")
 
     groups = tried = None
-    merged = 0
-    for number in range(rounds):
-        ranked = [F.min(F.struct(F.xxhash64("vertex", F.lit(number * HUBS + k)), _entry("y"))) for k in range(HUBS)]
-        hubs = entries.groupBy("token").agg(F.array(*ranked).alias("_hubs"))
-        met = entries.select("token", _entry("x")).join(hubs, "token")
-        met = met.select("x", F.posexplode("_hubs").alias("_slot", "_hub")).select("x", "_slot", "_hub.y").where("x.group <> y.group")
-        # A hub may stand for some of the shared tokens only, so few are enough; one pair per vertex and slot.
-        best = F.max_by("b", F.struct("shared", "b")).alias("b")
-        pairs = _candidates(met, tried, 2, "_slot").groupBy("a", "_slot").agg(best).select("a", "b").distinct()
+    for number, hubs in enumerate(rounds):
+        last = number == len(rounds) - 1
+        ranked = [F.min(F.struct(F.xxhash64("vertex", F.lit(100 * number + k)), _entry("y"))) for k in range(hubs)]
+        each = entries.groupBy("token").agg(F.array(*ranked).alias("_hubs"))
+        looking = _sides(entries).where("NOT _in_main") if last else entries
+        met = looking.select("token", _entry("x")).join(each, "token")
+        slots = F.array_distinct(F.transform("_hubs", lambda h: h["y"])) if last else F.transform("_hubs", lambda h: h["y"])
+        met = met.select("x", F.posexplode(slots).alias("_slot", "y")).where("x.group <> y.group")
+        # A hub may stand for some of the shared tokens only, so few are enough.
+        if last:
+            pairs = _candidates(met, tried, 2).select("a", "b")
+        else:  # one pair per vertex and slot
+            best = F.max_by("b", F.struct("shared", "b")).alias("b")
+            pairs = _candidates(met, tried, 2, "_slot").groupBy("a", "_slot").agg(best).select("a", "b").distinct()
         pairs = saved(pairs, "pairs")
         tried = pairs if tried is None else tried.union(pairs)
-        moved = components(_as_groups(_linked(pairs, texts, size), groups))
-        new = moved.count()
-        if not new:
-            break
-        merged += new
+        moved = components(_as_groups(_linked(pairs, sets, size), groups))
         groups = _relabelled(groups, moved)
         entries = saved(_open(_moved(entries, moved)), "entries")
-        if 100 * new < merged:
-            break
 
     # What still meets in several components: all vertices outside a token's main component with all others.
-    main = entries.groupBy("token", "group").count().groupBy("token").agg(F.max_by("group", "count").alias("_main"))
-    sides = entries.join(main, "token").select("token", _entry("y"), (F.col("group") == F.col("_main")).alias("_in_main"))
+    sides = _sides(_same_lists(entries)).select("token", _entry("y"), "_in_main")
     rest = sides.where("NOT _in_main").select("token", F.col("y").alias("x"))
     met = rest.join(sides, "token").where("x.group <> y.group AND (_in_main OR x.vertex < y.vertex)")
     pairs = saved(_candidates(met, tried, MOST), "pairs")
-    moved = components(_as_groups(_linked(pairs, texts, size), groups))
+    moved = components(_as_groups(_linked(pairs, sets, size), groups))
     return _relabelled(groups, moved)
 
 
+def _same_lists(entries: DataFrame) -> DataFrame:
+    """Tokens that exactly the same vertices have, such as those of one passage, as a single one.
+
+    It lies at the first place of any of them and counts for all, so pairs can only be added.
+    """
+    lists = entries.groupBy("token").agg(F.bit_xor(F.xxhash64("vertex")).alias("_list"))
+    one = entries.join(lists, "token").groupBy(F.col("_list").alias("token"), "vertex", "n", "matches", "group")
+    return one.agg(F.min("place").alias("place"), F.sum("weight").alias("weight"))
+
+
+def _sides(entries: DataFrame) -> DataFrame:
+    """Entries, and whether they belong to the component that has most entries of their token."""
+    size = F.struct("count", "group")
+    main = entries.groupBy("token", "group").count().groupBy("token").agg(F.max_by("group", size).alias("_main"))
+    return entries.join(main, "token").withColumn("_in_main", F.col("group") == F.col("_main"))
+
+
 def _entry(name: str) -> Column:
-    return F.struct("vertex", "n", "place", "matches", "group").alias(name)
+    return F.struct("vertex", "n", "place", "matches", "group", "weight").alias(name)
 
 
 def _as_groups(pairs: DataFrame, groups: DataFrame | None) -> DataFrame:
