@@ -1,5 +1,4 @@
-"""One function per job. Table names and paths are arguments; the defaults are the fixed names of
-the shared warehouse."""
+"""One function per job. Table names and paths are arguments; the defaults are fixed names."""
 
 from __future__ import annotations
 
@@ -93,7 +92,7 @@ def run_onboarding(
     target: str = DIM_CUSTOMERS,
     as_of_ts: dt.datetime | None = None,
     rules: SegmentRules = SegmentRules(),
-    ties: str = "all",
+    ties: str = "one",
 ) -> int:
     """Rebuild the customer dimension from the landed files; the whole table is replaced."""
     configure(spark)

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,11 +21,11 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column
 def keep_latest_ties(df: DataFrame, keys: Sequence[str], latest_by: str) -> DataFrame:
     """All rows that hold the largest ``latest_by`` of their key; rows without a value are dropped.
 
-    The maximum is pre-aggregated and joined back, so a key is never gathered in one task.
+    ``rank() = 1`` is planned as a group limit on both sides of the shuffle: one scan, and every map task
+    ships only a key's newest rows.
     """
-    newest = df.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.max(latest_by).alias("_newest"))
-    same_key = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-    return df.join(newest, same_key & (F.col(latest_by) == F.col("_newest")), "left_semi")
+    rank = F.rank().over(Window.partitionBy(*keys).orderBy(F.col(latest_by).desc()))
+    return df.filter(F.col(latest_by).isNotNull()).withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 
 def boundary_row(

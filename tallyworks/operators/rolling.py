@@ -62,8 +62,15 @@ def trailing_count(df: DataFrame, key: str, ts: str, counted: str, seconds: int,
     """Per key and whole second: how many ``counted`` values lie in the last ``seconds`` up to it.
 
     Returns ``key``, ``_second`` and ``out``; all rows of one second share a result. Rows are counted
-    per second before the shuffle, so the window holds at most 86,400 rows per key and day.
+    per second before the shuffle. Each second's count comes in at its time and goes out again after
+    ``seconds``, so one running sum answers all seconds in linear time.
     """
     per_second = df.groupBy(key, F.unix_timestamp(ts).alias("_second")).agg(F.count(counted).alias("_n"))
-    trailing = Window.partitionBy(key).orderBy("_second").rangeBetween(-seconds, 0)
-    return per_second.withColumn(out, F.sum("_n").over(trailing)).drop("_n")
+    dated = F.when(F.col("_second").isNotNull(), F.col("_n")).otherwise(0)
+    comes = per_second.select(key, "_second", "_n", dated.alias("_change"))
+    goes = per_second.filter("_second IS NOT NULL").select(
+        key, (F.col("_second") + seconds + 1).alias("_second"), F.lit(None).cast("long").alias("_n"), (-F.col("_n")).alias("_change")
+    )
+    so_far = Window.partitionBy(key).orderBy("_second").rangeBetween(Window.unboundedPreceding, 0)
+    running = comes.union(goes).withColumn("_sum", F.sum("_change").over(so_far)).filter("_n IS NOT NULL")
+    return running.select(key, "_second", F.when(F.col("_second").isNull(), F.col("_n")).otherwise(F.col("_sum")).alias(out))

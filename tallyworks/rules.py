@@ -1,4 +1,4 @@
-"""Business thresholds. The defaults are the values the jobs use in production."""
+"""Business thresholds. The defaults are the values the jobs use unless told otherwise."""
 
 from __future__ import annotations
 
