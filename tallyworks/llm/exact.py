@@ -14,19 +14,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.llm.common import ascii_lower, free_name, saved
+from tallyworks.llm.common import ascii_lower, saved
 
 #: Runs that merge at once in a round.
 FAN = 8
 KEY = ["_digest", "_size", "_check"]
 
 
-def digest_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
+def digest_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One entry per row: its run, a row number, identifier and verified digest, sorted within the run."""
-    row = F.col(row_col) if row_col else F.monotonically_increasing_id()
     texts = docs.select(
         F.spark_partition_id().cast("long").alias("_run"),
-        row.alias("_row"),
+        F.monotonically_increasing_id().alias("_row"),
         F.col(id_col).alias("_id"),
         ascii_lower(F.col(text_col)).alias("_text"),
     )
@@ -66,9 +65,21 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fan: int = FAN) -> DataFrame:
-    """The documents that stay, with all their columns."""
-    row = free_name(docs, "_row")
-    rows = saved(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
-    entries = saved(digest_runs(rows, id_col, text_col, row), "digest-runs")
-    stay = merge_runs(entries, fan).select(F.col("_keep._row").alias(row))
-    return rows.join(stay, row, "left_semi").drop(row)
+    """The documents that stay, with all their columns; of rows tied in identifier the one with the largest text."""
+    entries = saved(digest_runs(docs, id_col, text_col), "digest-runs")
+    stay = merge_runs(entries, fan).select(*KEY, F.col("_keep._id").alias("_id"))
+    lowered = ascii_lower(F.col(text_col))
+    one = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_doc"), F.col(id_col).alias("_id"), lowered.alias("_text"))
+    one = one.select(
+        "_doc",
+        "_id",
+        F.unhex(F.sha2(F.col("_text").cast("binary"), 256)).alias("_digest"),
+        F.octet_length("_text").alias("_size"),
+        F.xxhash64("_text").alias("_check"),
+    )
+    # Tied rows are merged before the shuffle, and the join uses the same one.
+    tied = one.groupBy("_id", *KEY).agg(F.max_by("_doc", F.coalesce(F.col("_doc")[text_col], F.lit(""))).alias("_doc"))
+    same = tied["_id"].eqNullSafe(stay["_id"])
+    for name in KEY:
+        same = same & (tied[name] == stay[name])
+    return tied.join(stay, same, "left_semi").select("_doc.*")
