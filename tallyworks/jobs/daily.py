@@ -15,6 +15,7 @@ from tallyworks.sinks import (
     append_rows,
     ensure_table,
     overwrite_table_partitions,
+    replace_day,
     replace_table,
     stage,
     write_run,
@@ -57,9 +58,9 @@ def run_ledger(
         run_date,
         rules,
     )
-    written = overwrite_table_partitions(enriched, facts, ["trx_date", "region_id"])
+    written = replace_day(enriched, facts, ["trx_date", "region_id"], run_date)
     day = ledger.risk_daily_summary(read_table(spark, facts), run_date, risk)
-    return {facts: written, summary: overwrite_table_partitions(day, summary, ["summary_date"])}
+    return {facts: written, summary: replace_day(day, summary, ["summary_date"], run_date)}
 
 
 def run_daily_balances(
@@ -80,7 +81,8 @@ def run_daily_balances(
     snapshot = balances.eod_balances(
         read_table(spark, accounts), read_table(spark, target), movements, run_date, as_of_ts, rules
     )
-    return overwrite_table_partitions(snapshot, target, ["balance_date", "region_code"])
+    # Staged, as it reads earlier days of the table that it goes to.
+    return replace_day(stage(snapshot, "balances"), target, ["balance_date", "region_code"], run_date)
 
 
 def run_onboarding(
@@ -116,24 +118,29 @@ def run_customer_history(
     updates: str = CUSTOMER_UPDATES,
     history: str = CUSTOMER_SCD2,
     target: str | None = None,
+    log: bool = False,
     tie_break: Sequence[str] = (),
 ) -> int:
     """Bring the day's customer updates into the history.
 
-    With a ``target`` the next full version goes there, one active row per customer, and ``history``
-    stays as it is: the form to use. Without one, the new and the retired rows are appended to
-    ``history``, where the rows they supersede remain active.
+    The next full version, with one active row per customer, goes to ``target`` or, without one, replaces
+    ``history`` once it is complete in a staged table. With ``log`` the new and the retired rows are appended
+    to ``history`` instead, where the rows they supersede remain active; of those only the newest takes part
+    in the comparison. A day that is run again changes nothing.
     """
     configure(spark)
-    if target == history:
-        raise ValueError("the table being read cannot be replaced: name another target")
+    if target is not None and (log or target == history):
+        raise ValueError("a target takes a full version and is another table than the history")
     ensure_table(spark, history, schemas.CUSTOMER_SCD2)
     dim = read_table(spark, history, schemas.CUSTOMER_SCD2)
     day = scd2.updates_of_day(read_table(spark, updates), run_date, "timestamp", tie_break)
-    changes = scd2.scd2_changes(dim, day)
-    if target is None:
+    if log:
+        changes = scd2.scd2_changes(scd2.newest_active(dim), day)
         return append_rows(scd2.scd2_day_rows(changes, run_date), history)
-    return replace_table(scd2.scd2_apply(dim, changes, run_date), target, [])
+    version = scd2.scd2_apply(dim, scd2.scd2_changes(dim, day), run_date)
+    if target is None:
+        return overwrite_table_partitions(stage(version, "history"), history, [])
+    return replace_table(version, target, [])
 
 
 def run_fraud_scores(
@@ -156,7 +163,7 @@ def run_fraud_scores(
         run_date,
         rules,
     )
-    return overwrite_table_partitions(scores, target, ["scoring_date"])
+    return replace_day(scores, target, ["scoring_date"], run_date)
 
 
 def run_trading_costs(
@@ -174,16 +181,16 @@ def run_trading_costs(
     """Write the cost report of a run date below ``out_path``; a rerun replaces that date."""
     configure(spark)
 
-    def source(path: str, name: str, schema) -> DataFrame:
-        return schemas.require_columns(read_parquet(spark, path), schema, name)
-
+    quotes = read_parquet(spark, quotes_path)
+    schemas.require_columns(quotes, schemas.LEVEL1_QUOTES, "quotes")
+    settled = [c for c in (rules.quote_tie_break,) if c in quotes.columns]
     events = read_parquet(spark, events_path)
     schemas.require_columns(events, schemas.ORDER_EVENTS, "order events")
     report = tca.tca_report(
         read_parquet(spark, parents_path),
         events.select(*schemas.ORDER_EVENTS.names, *tie_break),
-        source(quotes_path, "quotes", schemas.LEVEL1_QUOTES),
-        source(trades_path, "trades", schemas.MARKET_TRADES),
+        quotes.select(*schemas.LEVEL1_QUOTES.names, *settled),
+        schemas.require_columns(read_parquet(spark, trades_path), schemas.MARKET_TRADES, "trades"),
         run_date,
         rules,
         tie_break=tie_break,

@@ -2,8 +2,8 @@
 
 Neither operator pairs up rows. Ticks and probe instants of the same key meet in short time bins,
 where one ordered pass answers every probe; what a probe needs from earlier bins arrives as a single
-carry row per bin. Ticks are reduced to one row per key and instant, and probes to distinct instants,
-before they are shuffled by bin: many orders that start at the market open cost one probe.
+carry row or total per bin. Probes are reduced to distinct instants first: many orders that start at
+the market open cost one probe.
 """
 
 from __future__ import annotations
@@ -14,11 +14,6 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Wide enough for sums of price * size, and exact: differences of running sums lose nothing.
-_SIZE = "decimal(38,6)"
-_NOTIONAL = "decimal(38,10)"
-
-
 def _bin_start(ts: Column, seconds: int) -> Column:
     second = F.unix_seconds(ts)
     return second - F.pmod(second, F.lit(seconds))
@@ -33,7 +28,7 @@ def asof_lookup(
     targets: Mapping[str, str],
     right_ts: str,
     payload: Sequence[str],
-    tie_break: str,
+    tie_break: Sequence[str] = (),
     lookback_seconds: int,
     bin_seconds: int = 60,
 ) -> DataFrame:
@@ -41,8 +36,8 @@ def asof_lookup(
 
     ``targets`` maps an output prefix to a timestamp column of ``left``; all of them are answered in
     one pass. A right row older than ``lookback_seconds`` does not count; one exactly that old does.
-    Right rows that share an instant are settled by the largest ``tie_break``, which must be set
-    and unique among them. Returns the ``keys`` (unique in ``left``) and ``<prefix>_<column>`` for the payload and
+    Right rows that share an instant are settled by the largest ``tie_break``, then by the largest payload, nulls
+    smallest. Returns the ``keys`` (unique in ``left``) and ``<prefix>_<column>`` for the payload and
     the right timestamp; left rows without any match are absent.
     """
     prefixes = list(targets)
@@ -54,7 +49,8 @@ def asof_lookup(
     ticks = (
         right.filter(F.col(by).isNotNull() & F.col(right_ts).isNotNull())
         .groupBy(by, _bin_start(F.col(right_ts), bin_seconds).alias("_bin"), F.col(right_ts).alias("_at"))
-        .agg(*[F.max_by(c, tie_break).alias(c) for c in payload])
+        .agg(F.max(F.struct(*[F.col(c).alias(f"_tie{i}") for i, c in enumerate(tie_break)], *payload)).alias("_best"))
+        .select(by, "_bin", "_at", *[F.col("_best")[c].alias(c) for c in payload])
     )
     newest = [*[F.max_by(c, "_at").alias(c) for c in payload], F.max("_at").alias("_at")]
     reach = ceil(lookback_seconds / bin_seconds) * bin_seconds
@@ -87,6 +83,48 @@ def asof_lookup(
     )
 
 
+#: Level of a whole parent: shifted that far, every place in it is 0.
+_WHOLE = 62
+
+
+def _edges(intervals: DataFrame, by: str, units: Sequence[int]) -> DataFrame:
+    """``intervals`` (``_lo``, ``_hi``) as running sums to look up: at most two per tier of ``units``.
+
+    A unit of one tier has a parent in the next one. An interval inside one parent is cut where its two ends
+    first differ in a bit of their place: it runs to the end of one cell of that level and on from the start of the
+    next. An interval that leaves its parent runs to the parent's end and on from another's start; the
+    parents between are an interval of the next tier. No sum is ever taken away from another.
+    """
+    edge = lambda tier, parent, level, place, way: F.struct(
+        F.lit(tier).alias("_tier"), parent.alias("_parent"), level.alias("_level"),
+        F.call_function("shiftright", place, level).alias("_cell"), place.alias("_place"), F.lit(way).alias("_way"),
+    )
+    nothing, found = F.array(), []
+    for tier, unit in enumerate(units):
+        lo, hi = F.col("_lo"), F.col("_hi")
+        low, high, from_, to = _parent(lo, unit), _parent(hi, unit), _place(lo, unit), _place(hi, unit)
+        level = F.when(low != high, _WHOLE).otherwise(F.length(F.bin(from_.bitwiseXOR(to))) - 1).cast("int")
+        one = F.array(edge(tier, low, F.lit(0), from_, 1))
+        two = F.array(edge(tier, low, level, from_, -1), edge(tier, high, level, to, 1))
+        name = f"_edges{tier}"
+        intervals = intervals.withColumn(name, F.when(lo == hi, one).when(lo < hi, two).otherwise(nothing))
+        found.append(F.coalesce(name, nothing))
+        inside = (lo < hi) & (low + 1 <= high - 1)
+        intervals = intervals.withColumns({"_lo": F.when(inside, low + 1), "_hi": F.when(inside, high - 1)})
+    return intervals.withColumn("_edge", F.explode(F.concat(*found))).select("*", "_edge.*").drop(
+        "_lo", "_hi", "_edge", *[f"_edges{t}" for t in range(len(units))]
+    )
+
+
+def _parent(index: Column, unit: int) -> Column:
+    return F.floor((index - F.pmod(index, F.lit(unit))) / unit).cast("long") if unit else F.lit(0).cast("long")
+
+
+def _place(index: Column, unit: int) -> Column:
+    """Where a unit lies in its parent, from 0; the last tier has a single parent."""
+    return F.pmod(index, F.lit(unit)).cast("long") if unit else (index + F.lit(1 << 40)).cast("long")
+
+
 def interval_vwap(
     left: DataFrame,
     right: DataFrame,
@@ -104,62 +142,63 @@ def interval_vwap(
 ) -> DataFrame:
     """Traded volume and volume-weighted price inside the closed interval of each left row.
 
-    Both are differences of running sums, taken just before the start and at the end of the interval.
-    Returns the ``keys`` (unique in ``left``) and the two results; rows with an empty interval or
-    without a ``by`` value are absent, rows whose interval holds no trade have null results.
+    Both are sums of disjoint parts of the interval, never differences, so a small trade keeps its digits next
+    to large ones, and a NaN price spoils only the intervals that hold it. Ticks, bins and days are the tiers; ticks
+    are looked at in the bins where an interval starts or ends only, whole bins and days by their totals.
+    Decimal prices and sizes are summed exactly. Returns the ``keys`` (unique in ``left``) and the two results;
+    rows with an empty interval or without a ``by`` value are absent, rows whose interval holds no trade
+    have null results.
     """
-    edge = lambda ts, side, sign: F.struct(
-        F.col(ts).alias("_at"), F.lit(side).alias("_side"), F.lit(sign).alias("_sign")
-    )
-    probes = left.filter(F.col(by).isNotNull() & (F.col(start) <= F.col(end))).select(
-        *keys, by, F.inline(F.array(edge(start, 1, -1), edge(end, 3, 1)))
+    units = (bin_seconds * 1_000_000, ceil(86_400 / bin_seconds), 0)
+    probes = _edges(
+        left.filter(F.col(by).isNotNull() & (F.col(start) <= F.col(end))).select(
+            *keys, by, F.unix_micros(start).alias("_lo"), F.unix_micros(end).alias("_hi")
+        ),
+        by,
+        units,
     )
-    instants = (
-        probes.select(by, "_at", "_side").distinct().withColumn("_bin", _bin_start(F.col("_at"), bin_seconds))
+    cell = [by, "_tier", "_parent", "_level", "_cell", "_way"]
+    asked = probes.select(*cell, "_place").distinct()
+    levels = asked.groupBy(by, "_tier", "_parent").agg(
+        F.collect_set(F.struct("_level", "_way")).alias("_levels")  # two per bit of a place
     )
 
-    product = F.col(price) * F.col(size)
-    ticks = (
-        right.filter(F.col(by).isNotNull() & F.col(right_ts).isNotNull())
-        .groupBy(by, _bin_start(F.col(right_ts), bin_seconds).alias("_bin"), F.col(right_ts).alias("_at"))
-        .agg(
-            F.sum(F.col(size).cast(_SIZE)).alias("_size"),
-            F.sum(product.cast(_NOTIONAL)).alias("_notional"),
-            F.count(size).alias("_sized"),
-            F.count(product).alias("_priced"),
-        )
-    )
-    measures = ["_size", "_notional", "_sized", "_priced"]
-    # Every bin in use, with the sums of all bins before it: at most one row per key and bin.
-    bins = (
-        ticks.select(by, "_bin", *measures)
-        .unionByName(instants.select(by, "_bin"), allowMissingColumns=True)
-        .groupBy(by, "_bin")
-        .agg(*[F.sum(m).alias(m) for m in measures])
+    measures = ["_size", "_notional"]
+    tick = right.filter(F.col(by).isNotNull() & F.col(right_ts).isNotNull()).select(
+        by, F.unix_micros(right_ts).alias("_index"), F.col(size).alias("_size"), (F.col(price) * F.col(size)).alias("_notional")
     )
-    earlier = Window.partitionBy(by).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    carry = bins.select(by, "_bin", *[F.sum(m).over(earlier).alias(m) for m in measures])
-
-    # In a bin: the carry, then per instant interval starts, ticks, interval ends.
+    tiers = []
+    for tier, unit in enumerate(units):
+        tiers.append(
+            tick.select(
+                by, F.lit(tier).alias("_tier"), _parent(F.col("_index"), unit).alias("_parent"),
+                _place(F.col("_index"), unit).alias("_place"), *measures,
+            )
+        )
+        if unit:
+            tick = tick.groupBy(by, _parent(F.col("_index"), unit).alias("_index")).agg(*[F.sum(m).alias(m) for m in measures])
+    totals = {m: _sum_type(tiers[0], m) for m in measures}
+
+    seen = [
+        t.select(by, "_tier", "_parent", "_place", *[F.col(m).cast(kind).alias(m) for m, kind in totals.items()])
+        .join(levels.filter(F.col("_tier") == tier).drop("_tier"), [by, "_parent"])
+        .select(by, "_tier", "_parent", F.inline("_levels"), "_place", *measures)
+        for tier, t in enumerate(tiers)
+    ]
     stream = (
-        ticks.withColumn("_side", F.lit(2))
-        .unionByName(carry.withColumn("_side", F.lit(0)), allowMissingColumns=True)
-        .unionByName(instants, allowMissingColumns=True)
+        seen[0].unionByName(seen[1]).unionByName(seen[2])
+        .withColumns({"_cell": F.expr("shiftright(_place, _level)"), "_side": F.lit(0)})
+        .unionByName(asked.withColumn("_side", F.lit(1)), allowMissingColumns=True)
     )
-    so_far = Window.partitionBy(by, "_bin").orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    running = stream.select(
-        by, "_at", "_side", *[F.coalesce(F.sum(m).over(so_far), F.lit(0)).alias(m) for m in measures]
-    ).filter(F.col("_side").isin(1, 3))
+    onward = Window.partitionBy(*cell).orderBy(F.col("_place") * F.col("_way"), "_side")
+    so_far = onward.rowsBetween(Window.unboundedPreceding, 0)
+    running = stream.select(*cell, "_place", "_side", *[F.sum(m).over(so_far).alias(m) for m in measures]).filter("_side = 1")
 
-    between = probes.join(running, [by, "_at", "_side"]).groupBy(*keys).agg(
-        *[F.sum(F.when(F.col("_sign") < 0, -F.col(m)).otherwise(F.col(m))).alias(m) for m in measures]
-    )
-    volume = F.when(F.col("_sized") > 0, F.col("_size"))
-    notional = F.when(F.col("_priced") > 0, F.col("_notional"))
-    return between.select(
+    summed = probes.join(running, [*cell, "_place"]).groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
+    return summed.select(
         *keys,
-        volume.cast(_sum_type(right, size)).alias(volume_out),
-        F.try_divide(notional.cast("double"), volume.cast("double")).alias(vwap_out),
+        F.col("_size").cast(totals["_size"]).alias(volume_out),
+        F.try_divide(F.col("_notional").cast("double"), F.col("_size").cast("double")).alias(vwap_out),
     )
 
 

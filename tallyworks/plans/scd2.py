@@ -38,6 +38,12 @@ def rejected_updates(updates: DataFrame, run_date: dt.date, ts: str = "update_ts
     return updates.filter(in_day(F.col(ts), run_date) & F.col("customer_id").isNull())
 
 
+def newest_active(dim: DataFrame) -> DataFrame:
+    """One active row per customer, the one that began last: a log keeps superseded rows active."""
+    order = [F.col("effective_start_date").desc(), F.col("customer_surrogate_key").desc()]
+    return latest_per_key(dim.filter("is_active"), ["customer_id"], order)
+
+
 def scd2_changes(
     dim: DataFrame,
     updates: DataFrame,

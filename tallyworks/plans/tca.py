@@ -164,7 +164,11 @@ def horizon_bounds(df: DataFrame, rules: TcaRules = TcaRules()) -> DataFrame:
 def asof_quotes(
     orders: DataFrame, quotes: DataFrame, rules: TcaRules = TcaRules(), horizons: Sequence[int] = (1,)
 ) -> DataFrame:
-    """Best bid and ask at the start, the end and some minutes after the end of each order."""
+    """Best bid and ask at the start, the end and some minutes after the end of each order.
+
+    Quotes of one instant are settled by ``rules.quote_tie_break``; quotes without that column by bid, then ask.
+    """
+    tie_break = [c for c in (rules.quote_tie_break,) if c in quotes.columns]
     timed = orders.select(*ORDER_KEYS, "ticker", "EffectiveStartTime", "EffectiveEndTime")
     targets = {"start": "EffectiveStartTime", "end": "EffectiveEndTime"}
     for minutes in horizons:
@@ -180,7 +184,7 @@ def asof_quotes(
         targets=targets,
         right_ts="quote_timestamp",
         payload=("best_bid", "best_ask"),
-        tie_break=rules.quote_tie_break,
+        tie_break=tie_break,
         lookback_seconds=rules.quote_lookback_minutes * 60,
     )
 

@@ -74,5 +74,5 @@ class TcaRules:
     horizon_minutes: tuple[int, ...] = (1, 5)
     quote_lookback_minutes: int = 10
     boundary_fill: str = "first"
-    # Settles quotes of one instant; set on every quote.
+    # Settles quotes of one instant; quotes without this column are settled by bid, then ask.
     quote_tie_break: str = "quote_id"

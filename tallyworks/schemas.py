@@ -193,8 +193,8 @@ PARENT_ORDERS = _schema(
     side="string",
     requested_shares="long",
 )
+# An identifier that settles quotes of one instant may be added (``TcaRules.quote_tie_break``).
 LEVEL1_QUOTES = _schema(
-    quote_id="long",
     ticker="string",
     quote_timestamp="timestamp",
     best_bid="double",

@@ -4,6 +4,7 @@ from tallyworks.sinks.tables import (
     append_rows,
     ensure_table,
     overwrite_table_partitions,
+    replace_day,
     replace_table,
     stage,
     write_partitions,
@@ -14,6 +15,7 @@ __all__ = [
     "append_rows",
     "ensure_table",
     "overwrite_table_partitions",
+    "replace_day",
     "replace_table",
     "stage",
     "write_partitions",

@@ -41,8 +41,10 @@ def write_partitions(df: DataFrame, path: str, parts: Sequence[str], fmt: str =
 
 
 def write_run(df: DataFrame, path: str, run_date: dt.date, fmt: str = "parquet") -> int:
-    """Replace the results of one run date below ``path``."""
-    return write_partitions(df.withColumn("run_date", F.lit(run_date)), path, ["run_date"], fmt)
+    """Replace the results of one run date below ``path``, also by none."""
+    counted, observation = _counted(df.drop("run_date"))
+    counted.write.format(fmt).mode("overwrite").save(f"{path.rstrip('/')}/run_date={run_date.isoformat()}")
+    return observation.get["rows"]
 
 
 def ensure_table(
@@ -88,6 +90,22 @@ def overwrite_table_partitions(df: DataFrame, table: str, parts: Sequence[str])
     return _insert(df, table, "overwrite", parts)
 
 
+def replace_day(df: DataFrame, table: str, parts: Sequence[str], day: dt.date) -> int:
+    """Replace all partitions of a catalog table whose first partition column is ``day``.
+
+    Partitions of the day that ``df`` lacks are emptied, so a second run leaves nothing of the first. All rows of
+    ``df`` belong to the day. ``df`` must not read the table: ``stage`` it where it does.
+    """
+    first, *others = parts
+    columns = [c for c in df.sparkSession.table(table).columns if c != first]
+    counted, observation = _counted(_rebalanced(df.select(*columns), others))
+    spec = ", ".join([f"`{first}` = '{day.isoformat()}'", *[f"`{c}`" for c in others]])
+    names = ", ".join(f"`{c}`" for c in columns)
+    with _overwrite_mode(df.sparkSession, "static"):
+        df.sparkSession.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({spec}) SELECT {names} FROM {{rows}}", rows=counted)
+    return observation.get["rows"]
+
+
 def append_rows(df: DataFrame, table: str, parts: Sequence[str] = ()) -> int:
     """Append to a catalog table; columns are matched by name, whatever their order in ``df``."""
     return _insert(df, table, "append", parts)

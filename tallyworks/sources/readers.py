@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tallyworks.schemas import require_columns
 
@@ -20,8 +20,17 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType | None = Non
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType, header: bool = True) -> DataFrame:
-    """CSV with a header line; a header that does not match the schema is an error."""
-    return spark.read.schema(schema).csv(path, header=header, enforceSchema=False)
+    """The schema's columns of a CSV, found by the names in its header line, whatever else it holds.
+
+    A column that is missing is an error, as are files of one path with different headers. Without a header
+    the columns are those of the schema in its order.
+    """
+    if not header:
+        return spark.read.schema(schema).csv(path)
+    kinds = {f.name: f.dataType for f in schema.fields}
+    found = spark.read.csv(path, header=True).columns
+    present = StructType([StructField(c, kinds.get(c, StringType())) for c in found])
+    return require_columns(spark.read.schema(present).csv(path, header=True, enforceSchema=False), schema, f"header of {path}")
 
 
 def read_table(spark: SparkSession, name: str, schema: StructType | None = None) -> DataFrame:

@@ -83,6 +83,32 @@ def test_run_date_can_be_run_again(spark):
     assert content(spark.read.parquet(path)) == [(1, "new"), (1, "other")]
 
 
+def test_run_date_can_be_emptied(spark):
+    path = scratch_dir(spark, "runs")
+    for day, rows in ((DAY, [(1, "old", DAY, "EU")]), (NEXT, [(1, "other", NEXT, "EU")]), (DAY, [])):
+        assert sinks.write_run(frame(spark, rows), path, day) == len(rows)
+    assert content(spark.read.parquet(path)) == [(1, "other")]
+
+
+@pytest.mark.parametrize("again", [[(2, "new", DAY, "EU")], []])
+def test_second_run_of_a_day_leaves_nothing_of_the_first(spark, session_mode, again):
+    table, parts = f"day_again_{session_mode}_{len(again)}", ["day", "region"]
+    first = frame(spark, [(2, "old", DAY, "UN"), (3, "kept", NEXT, "UN")])
+    sinks.ensure_table(spark, table, first.schema, parts, "orc", scratch_dir(spark, "again"))
+    for day, rows in ((DAY, first.filter("id = 2")), (NEXT, first.filter("id = 3")), (DAY, frame(spark, again))):
+        assert sinks.replace_day(rows, table, parts, day) == rows.count()
+    assert content(read_table(spark, table)) == sorted([(3, "kept"), *[(i, v) for i, v, *_ in again]])
+
+
+def test_csv_columns_are_found_by_name(spark):
+    path = scratch_dir(spark, "csv")
+    row = dict(open_date="2024-01-02", account_no="7", initial_deposit="1.5", customer_id="c", account_status="ACTIVE")
+    spark.range(1).select(*[F.lit(v).alias(c) for c, v in row.items()]).write.csv(path, header=True)
+    assert tuple(read_csv(spark, path, schemas.FUNDING_ACCOUNTS).first()) == tuple(
+        {"initial_deposit": 1.5, "open_date": DAY}.get(c, row[c]) for c in schemas.FUNDING_ACCOUNTS.names
+    )
+
+
 def test_readers_use_the_given_schema(spark):
     path = scratch_dir(spark, "json")
     spark.range(1).select(F.lit('{"customer_id":"c","dob":"1990-01-02","address":{"country":"FR","state":"S"},"other":1}')).write.text(path)
@@ -183,22 +209,37 @@ def test_history_job(warehouse):
     assert jobs.run_customer_history(spark, NEXT, target="fin_core.customers_next") == 2
     rows = {r["last_name"]: r["is_active"] for r in spark.table("fin_core.customers_next").collect()}
     assert rows == {"A": False, "B": True}
-    assert jobs.run_customer_history(spark, NEXT) == 2
-    assert spark.table("fin_core.dim_customers_scd2").filter("is_active").count() == 2
+    assert jobs.run_customer_history(spark, NEXT, log=True) == 2
+    assert jobs.run_customer_history(spark, NEXT, log=True) == 0
+    active = spark.table("fin_core.dim_customers_scd2").filter("is_active")
+    assert active.count() == active.select("customer_surrogate_key").distinct().count() == 2
     with pytest.raises(ValueError):
         jobs.run_customer_history(spark, NEXT, target="fin_core.dim_customers_scd2")
 
 
-def test_trading_job(warehouse):
+def test_history_job_replaces_the_history_by_default(warehouse):
+    spark = warehouse
+    updates = [dict(customer_id="c1", last_name=n, timestamp=ts(f"2024-01-0{d} 10:00:00")) for d, n in ((2, "A"), (3, "B"), (4, "C"))]
+    save(make(spark, schemas.CUSTOMER_UPDATES, updates), "fin_landing.updates_by_day")
+    for day, rows in ((DAY, 1), (NEXT, 2), (NEXT, 2), (NEXT + dt.timedelta(days=1), 3)):
+        assert jobs.run_customer_history(spark, day, updates="fin_landing.updates_by_day", history="fin_core.history_by_day") == rows
+    got = {r["last_name"]: r["is_active"] for r in spark.table("fin_core.history_by_day").collect()}
+    assert got == {"A": False, "B": False, "C": True}
+
+
+@pytest.mark.parametrize("quote_ids", [True, False])
+def test_trading_job(warehouse, quote_ids):
     spark = warehouse
     base = scratch_dir(spark, "trading")
     at = lambda t: ts(f"2024-01-02 {t}")
     parents = [dict(order_id="o", client_id="c", ticker="T", side="BUY", requested_shares=100), dict(order_id="p", client_id="c", ticker="X", side="SELL", requested_shares=1)]
     events = [dict(order_id="o", client_id="c", trade_date=DAY, protocol_version="V2", event_type="FILL", status="FILLED", event_timestamp=at("15:00:00"), last_exec_price=11.0, last_exec_qty=50.0)]
-    quotes = [dict(quote_id=1, ticker="T", quote_timestamp=at("14:29:00"), best_bid=9.0, best_ask=11.0)]
+    quotes = [dict(ticker="T", quote_timestamp=at("14:29:00"), best_bid=9.0, best_ask=11.0)]
     trades = [dict(ticker="T", trade_timestamp=at("16:00:00"), trade_price=10.0, trade_size=7)]
     for name, schema, rows in (("parents", schemas.PARENT_ORDERS, parents), ("events", schemas.ORDER_EVENTS, events), ("quotes", schemas.LEVEL1_QUOTES, quotes), ("trades", schemas.MARKET_TRADES, trades)):
-        make(spark, schema, rows).write.parquet(f"{base}/{name}")
+        rows = make(spark, schema, rows)
+        rows = rows.withColumn("quote_id", F.lit(1)) if name == "quotes" and quote_ids else rows
+        rows.write.parquet(f"{base}/{name}")
     paths = {f"{n}_path": f"{base}/{n}" for n in ("parents", "events", "quotes", "trades")}
     for _ in range(2):
         assert jobs.run_trading_costs(spark, DAY, out_path=f"{base}/out", **paths) == 2

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -157,7 +158,7 @@ def test_asof_lookup(spark, lookback, bin_seconds):
         targets={"a": "a", "b": "b"},
         right_ts="qt",
         payload=["bid"],
-        tie_break="id",
+        tie_break=["id"],
         lookback_seconds=lookback,
         bin_seconds=bin_seconds,
     )
@@ -218,3 +219,49 @@ def test_interval_without_sizes_or_prices(spark):
         volume_out="volume", vwap_out="vwap",
     )
     assert {tuple(r) for r in result.collect()} == {(1, None, None), (2, 4, None), (3, 0, None)}
+
+
+def vwap_of(spark, rows, intervals, kind):
+    trades = spark.createDataFrame(rows, f"k int, tt timestamp, price {kind}, size {kind}")
+    left = spark.createDataFrame(intervals, "o int, k int, a timestamp, b timestamp")
+    result = interval_vwap(
+        left, trades, keys=["o"], by="k", start="a", end="b", right_ts="tt", price="price", size="size",
+        volume_out="volume", vwap_out="vwap",
+    )
+    return {r["o"]: (r["volume"], r["vwap"]) for r in result.collect()}
+
+
+def test_interval_vwap_keeps_small_trades_next_to_large_ones(spark):
+    rng = random.Random(11)
+    spread = (10**6, 2 * 86_400 * 10**6)
+    when = [at(rng.randrange(spread[i % 2]) / 1e6 - 5) for i in range(400)]
+    rows = [(1, t, round(10 ** rng.uniform(-6, 4), 8), 10 ** rng.uniform(-9, 9)) for t in when]
+    ends = sorted(rng.choices(when, k=200)) + [at(rng.uniform(-9, 9)) for _ in range(100)]
+    intervals = [(i, 1, *sorted(rng.sample(ends, 2))) for i in range(200)] + [(200 + i, 1, t, t) for i, t in enumerate(when[:50])]
+    got = vwap_of(spark, rows, intervals, "double")
+    for order, _, a, b in intervals:
+        inside = [(p, s) for _, t, p, s in rows if a <= t <= b]
+        volume, vwap = got[order]
+        if not inside:
+            assert (volume, vwap) == (None, None)
+            continue
+        assert volume == pytest.approx(sum(s for _, s in inside), rel=1e-12)
+        assert vwap == pytest.approx(sum(p * s for p, s in inside) / sum(s for _, s in inside), rel=1e-12)
+        assert min(p for p, _ in inside) * (1 - 1e-12) <= vwap <= max(p for p, _ in inside) * (1 + 1e-12)
+
+
+def test_interval_vwap_with_nan_and_decimals(spark):
+    rows = [(1, at(1), float("nan"), 1.0), (1, at(2), 4e-11, 4e-7), (1, at(2 * 86_400), 5.0, 2.0)]
+    intervals = [(1, 1, at(0), at(3)), (2, 1, at(2), at(3)), (3, 1, at(2), at(3 * 86_400)), (4, 1, at(-9 * 86_400), at(9 * 86_400))]
+    got = vwap_of(spark, rows, intervals, "double")
+    assert got[1][1] != got[1][1] and got[4][1] != got[4][1]
+    assert (got[2][0], got[3][0]) == (4e-7, pytest.approx(2.0000004)) and got[2][1] == pytest.approx(4e-11, rel=1e-12)
+    exact = [(1, at(i), Decimal("1.00000001"), Decimal("0.00000001") if i % 2 else Decimal("123456789.00000003")) for i in range(0, 200, 7)]
+    volume, _ = vwap_of(spark, exact, [(1, 1, at(0), at(200))], "decimal(18,8)")[1]
+    assert volume == sum(r[3] for r in exact)
+
+
+def test_interval_before_the_epoch_and_across_it(spark):
+    rows = [(1, dt.datetime(1969, 12, 31, 23, 59, 59), 1.0, 1.0), (1, dt.datetime(1970, 1, 1, 0, 0, 1), 3.0, 1.0), (1, dt.datetime(1960, 1, 1), 5.0, 1.0)]
+    intervals = [(1, 1, rows[0][1], rows[1][1]), (2, 1, rows[2][1], rows[1][1]), (3, 1, rows[2][1], rows[0][1])]
+    assert vwap_of(spark, rows, intervals, "double") == {1: (2.0, 2.0), 2: (3.0, 3.0), 3: (2.0, 3.0)}
