@@ -6,7 +6,8 @@ import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,10 +30,26 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/llm-{spark.sparkContext.applicationId}"
 
 
+@contextmanager
+def _shuffles_released(spark: SparkSession) -> Iterator[None]:
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
-    """The rows as a written table: cuts the lineage, survives lost executors, is computed once."""
+    """The rows as a written table: cuts the lineage, survives lost executors, is computed once.
+
+    Once the table is complete nothing reads the shuffles that led to it, so their files go with the write
+    instead of waiting for the driver's garbage collection.
+    """
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
+    with _shuffles_released(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
