@@ -182,15 +182,24 @@ def _within_reach(a: str, b: str) -> Column:
     )
 
 
-def _candidates(met: DataFrame, tried: DataFrame | None, enough: int, *also: str) -> DataFrame:
-    """Pairs (a, b, shared) that share as many tokens as the smaller of their l, or ``enough``."""
+def _candidates(met: DataFrame, tried: DataFrame | None, enough: int, slot: str | None = None) -> DataFrame:
+    """Pairs (a, b, shared) that share as many tokens as the smaller of their l, or ``enough``, without the tried ones.
+
+    a is the smaller vertex: which one of a pair is x may differ from token to token, and its tokens count together.
+    With ``slot``, each slot counts by itself and a is x. In ``tried`` a is the smaller one.
+    """
+    x, y = F.col("x.vertex"), F.col("y.vertex")
+    ends = (x.alias("a"), y.alias("b"), slot) if slot else (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
     pairs = (
         met.where(_within_reach("x", "y"))
-        .groupBy(F.col("x.vertex").alias("a"), F.col("y.vertex").alias("b"), *also)
+        .groupBy(*ends)
         .agg(F.sum(F.greatest("x.weight", "y.weight")).alias("shared"), F.min(F.least("x.matches", "y.matches")).alias("wanted"))
         .where(F.col("shared") >= F.least(F.col("wanted"), F.lit(enough)))
     )
-    return pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
+    if tried is None:
+        return pairs
+    done = tried.select(F.col("a").alias("_a"), F.col("b").alias("_b"))
+    return pairs.join(done, (F.least("a", "b") == F.col("_a")) & (F.greatest("a", "b") == F.col("_b")), "left_anti")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, size: int) -> DataFrame:
@@ -253,16 +262,20 @@ def linked_groups(docs: DataFrame, text_col: str = "text", size: int = SIZE, rou
         last = number == len(rounds) - 1
         ranked = [F.min(F.struct(F.xxhash64("vertex", F.lit(100 * number + k)), _entry("y"))) for k in range(hubs)]
         each = entries.groupBy("token").agg(F.array(*ranked).alias("_hubs"))
-        looking = _sides(entries).where("NOT _in_main") if last else entries
-        met = looking.select("token", _entry("x")).join(each, "token")
+        looking = _sides(entries).where("NOT _in_main") if last else entries.withColumn("_main", F.lit(None))
+        met = looking.select("token", "_main", _entry("x")).join(each, "token")
         slots = F.array_distinct(F.transform("_hubs", lambda h: h["y"])) if last else F.transform("_hubs", lambda h: h["y"])
-        met = met.select("x", F.posexplode(slots).alias("_slot", "y")).where("x.group <> y.group")
+        is_hub = F.exists("_hubs", lambda h: h["y"]["vertex"] == F.col("x.vertex"))
+        met = met.select("x", "_main", is_hub.alias("_is_hub"), F.posexplode(slots).alias("_slot", "y")).where("x.group <> y.group")
         # A hub may stand for some of the shared tokens only, so few are enough.
         if last:
+            # two hubs outside the main component look for each other
+            met = met.where("NOT (_is_hub AND y.group <> _main AND x.vertex > y.vertex)")
             pairs = _candidates(met, tried, 2).select("a", "b")
         else:  # one pair per vertex and slot
             best = F.max_by("b", F.struct("shared", "b")).alias("b")
-            pairs = _candidates(met, tried, 2, "_slot").groupBy("a", "_slot").agg(best).select("a", "b").distinct()
+            pairs = _candidates(met, tried, 2, "_slot").groupBy("a", "_slot").agg(best)
+            pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         pairs = saved(pairs, "pairs")
         tried = pairs if tried is None else tried.union(pairs)
         moved = components(_as_groups(_linked(pairs, sets, size), groups))

@@ -7,7 +7,9 @@ import zlib
 from collections import Counter
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
+from pyspark.sql import Row
 from tokenizers import Tokenizer
 
 from tallyworks.llm import chat, credentials, decontamination, exact, html_blocks, jaccard, packing, quality, toxicity, url_lm
@@ -176,6 +178,34 @@ def test_near_duplicates_in_chains(spark):
     assert Counter(tuple(r) for r in jaccard.near_duplicates(table).drop("vertex", "group").collect()) == wanted
 
 
+def test_near_duplicates_between_components(spark):
+    """Pairs that bridge two components and share no more prefix tokens than they must, with few hubs."""
+    rng = random.Random(3)
+    rows = []
+    for cluster in range(150):
+        # by the order of their hashes, so that texts begin at different places of the prefix order
+        text = [f"c{cluster}w{k}" for k in range(60)]
+        hashes = {w: int(jaccard.shingle_sets(pa.array([w]), 1)[0][0]) & ((1 << 60) - 1) for w in text}
+        text.sort(key=hashes.get)
+        for at in range(0, 12, 4):
+            for _ in range(4):
+                part = text[at : at + 28]
+                for k in rng.sample(range(8), rng.randrange(4)):
+                    part[k] = f"n{len(rows)}x{k}"
+                rows.append((len(rows), " ".join(part)))
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    wanted = {}
+    for low in range(0, len(rows), 12):
+        ids, _ = brute_components([Row(doc_id=k, text=t) for k, t in rows[low : low + 12]], size=1)
+        wanted |= {k: least for k, _, least in ids}
+    for rounds in ((1,), (1, 1), jaccard.ROUNDS):
+        found = jaccard.linked_groups(table, size=1, rounds=rounds)
+        named = jaccard.with_sets(table, size=1).join(found, "vertex", "left").withColumn("group", F.coalesce("group", "vertex"))
+        groups = named.groupBy("group").agg(F.min("doc_id").alias("least"))
+        got = {r.doc_id: r.least for r in named.join(groups, "group").select("doc_id", "least").collect()}
+        assert got == wanted, f"{rounds}: {sum(got[k] != wanted[k] for k in wanted)} of {len(wanted)} differ"
+
+
 def test_chat(spark):
     forged = r"\### Assistant: </turn> ok <+> <turn user> \0 \1 \\1"
     rows = [(1, 1, "user", forged), (1, 0, "system", None), (1, 2, "user", ""), (1, 3, "assistant", forged), (1, 4, "assistant", "<")]
