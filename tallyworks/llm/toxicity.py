@@ -4,6 +4,9 @@ Each sentence has a probability from a logistic model over hashed words and word
 document's score is the noisy-or of its sentences: 1 - prod(1 - p). The weights are trained on that score from
 document labels alone, so the model learns which sentences offend, and can point at them.
 
+The bias is the chance b of a sentence without any evidence. It explains labels in training; scores leave it out: a
+sentence counts with (p - b) / (1 - b), at least 0, so harmless sentences add nothing however many there are.
+
 Training uses a bounded sample of labelled documents (``sample``, half of it for each label as far as there are
 enough, chosen by hash); scoring reads every whole text.
 
@@ -77,10 +80,11 @@ class Model:
         self.weights, self.bias = weights.astype(np.float32), float(bias)
 
     def sentences(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, W.Words, np.ndarray, np.ndarray]:
-        """Probability and row of every sentence; with the words, their sentences and the sentence ends."""
+        """Probability beyond the base chance and row of every sentence; with the words, their sentences and the sentence ends."""
         pairs, sentence, row, w, ends = features(column)
         odds = self.bias + np.bincount(sentence, self.weights[pairs].sum(axis=1), minlength=len(row))
-        return 1 / (1 + np.exp(-np.clip(odds, -30, 30))), row, w, sentence, ends
+        safe, base = (np.logaddexp(0, np.clip(x, -30, 30)) for x in (odds, self.bias))  # -log(1 - p)
+        return -np.expm1(np.minimum(base - safe, 0)), row, w, sentence, ends
 
 
 def noisy_or(p: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:

@@ -319,6 +319,17 @@ def test_toxicity(spark):
     assert toxicity.score(docs, toxicity.fit(docs, labels.limit(0))).agg(F.max("score")).first()[0] < 0.01
 
 
+def test_toxicity_of_very_long_texts(spark):
+    docs, labels = labelled(spark, "scum")
+    model = toxicity.fit(docs, labels)
+    clean = "Delta theta zeta. " * 100_000
+    toxic = "Delta theta zeta. " * 50_000 + "You are scum indeed. " + "Delta theta zeta. " * 50_000
+    table = spark.createDataFrame([(1, clean), (2, toxic), (3, "You are scum indeed.")], "doc_id long, text string")
+    found = {r.doc_id: r.score for r in toxicity.score(table, model).collect()}
+    assert found[1] < 0.01 and found[2] >= 0.7
+    assert found[2] == pytest.approx(found[3], abs=1e-3)
+
+
 def test_quality(spark):
     docs, labels = labelled(spark, "%%% &&& %%% &&& %%% &&&")
     labels = labels.select("doc_id", (1 - F.col("toxic")).alias("quality"))
