@@ -5,7 +5,8 @@ to three before it: every order is shrunk towards the next shorter one by as muc
 rare. The score of a URL is the difference of its log likelihoods by length; a URL is rejected above a
 threshold that lets at most ``false_block`` of held-out accepted URLs be rejected.
 
-DataFrame operations only. Counts come from all distinct URLs. Characters are reduced to an
+DataFrame operations only. Counts come from the distinct URLs of four folds in five, the threshold from the accepted
+URLs of the fifth, so with few of them it is coarse; every URL is judged. Characters are reduced to an
 alphabet of 39 signs, so the model has 42 ** 4 rows at most and is broadcast within that bound; log ratios are
 whole micro-nats, so sums do not depend on their order.
 
