@@ -5,7 +5,8 @@ consecutive words of an item; an item of fewer words, but not none, is one windo
 any occurrence of a window is hit. Window hashes only nominate; every nominee is compared word by word.
 
 The window table is broadcast in blocks of ``block`` windows at most on average, and documents pass
-the blocks one after the other within one stage, so a benchmark of any size works in bounded memory.
+the blocks one after the other within one stage. Every task holds all blocks, one in each Python worker, and the driver
+keeps all broadcasts, so memory grows with the benchmark.
 
 Defined cases: null texts have no words and are never contaminated; an empty benchmark hits nothing; repeated
 rows are judged each by itself; a null item id marks words but is not listed; extra columns are kept.
