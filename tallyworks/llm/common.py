@@ -86,6 +86,13 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+def untaken(df: DataFrame, *names: str) -> None:
+    """Raise where ``df`` has an output column of one of these names already, in any case."""
+    both = {c.lower() for c in df.columns} & {n.lower() for n in names}
+    if both:
+        raise ValueError(f"output columns {sorted(both)} are taken; give other names")
+
+
 def ascii_lower(text: Column) -> Column:
     """Only A-Z lower-cased, null as empty. ``lower`` is the same and faster where all is ASCII."""
     text = F.coalesce(text, F.lit(""))

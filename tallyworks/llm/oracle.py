@@ -76,10 +76,33 @@ FROM o GROUP BY conv_id
 """
 
 
+_RANKED = f"""
+WITH dw AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+size AS (SELECT r, any_value(doc_id) AS doc_id, any_value(len(w)) AS n FROM dw WHERE len(w) > 0 GROUP BY r),
+total AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM size),
+asked AS (
+  SELECT DISTINCT item_id, term FROM (
+    SELECT item_id, unnest(regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark)),
+tf AS (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM dw) WHERE term IN (SELECT term FROM asked) GROUP BY r, term),
+weight AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM tf, total GROUP BY term),
+scored AS (
+  SELECT item_id, size.r, any_value(doc_id) AS doc_id,
+         CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM asked JOIN tf USING (term) JOIN weight USING (term) JOIN size USING (r), total GROUP BY item_id, size.r)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_chat_formatting": _CHAT,
         "op6_benchmark_decontamination": _DECONTAMINATION,
         "op9_exact_dedup": _EXACT,
         "op10_ngram_jaccard_join": _JACCARD,
+        "op11_ranked_search": _RANKED,
     }

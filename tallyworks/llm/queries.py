@@ -1,4 +1,4 @@
-"""One query per corpus operator, each over its whole table with production parameters."""
+"""One query per corpus operator, each over its whole table, with the parameters meant for large inputs."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.llm import chat, credentials, decontamination, exact, html_blocks, jaccard, packing, quality, toxicity, url_lm
+from tallyworks.llm import alignment, chat, credentials, decontamination, exact, html_blocks, jaccard, language, packing, quality, retrieval, toxicity, url_lm
 from tallyworks.llm.common import table
 
 #: Score from which a document counts as toxic.
@@ -16,6 +16,9 @@ TOXIC = 0.7
 #: Score from which a document counts as good.
 GOOD = 0.5
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+#: Public vocabulary whose pieces the language models are over.
+PIECES = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+ALIGNED = alignment.Files(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, public_tokenizers.path("piece_bpe_32k.model"))
 
 
 URL_RULES = [
@@ -127,6 +130,22 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents")).drop("vertex", "group")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = retrieval.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("item_id", "rank", "doc_id", "score")
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(language.held_out(F.col("doc_id")), F.lit(False))
+    model = language.fit(docs.where(~held_out), PIECES)
+    return language.predict(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), ALIGNED)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [f for name, f in globals().items() if name.startswith("op") and callable(f)]
     return {f.__name__: f for f in own}

@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are worked on at once.
-BLOCK = 1 << 22
+BLOCK = 1 << 20
 _STEP = 0x9E3779B97F4A7C15
 _BACK = pow(_STEP, -1, 1 << 64)
 
@@ -71,12 +71,16 @@ _powers: dict[str, np.ndarray] = {}
 
 
 def _power(kind: str, n: int) -> np.ndarray:
-    have = _powers.get(kind)
-    if have is None or len(have) < n:
-        have = np.full(max(n, BLOCK + (1 << 16)), _STEP if kind == "step" else _BACK, np.uint64)
+    """Powers of the step; those for a block are kept, those for a longer word are not."""
+    usual = BLOCK + (1 << 12)
+    if n > usual or kind not in _powers:
+        have = np.full(max(n, usual), _STEP if kind == "step" else _BACK, np.uint64)
         have[0] = 1
-        _powers[kind] = have = np.multiply.accumulate(have)
-    return have[:n]
+        np.multiply.accumulate(have, out=have)
+        if n > usual:
+            return have
+        _powers[kind] = have
+    return _powers[kind][:n]
 
 
 def words(data: np.ndarray, offsets: np.ndarray, word_bytes: np.ndarray, prefixes: tuple[int, ...] = ()) -> Words:
@@ -123,8 +127,14 @@ def _between_words(data: np.ndarray, offsets: np.ndarray, word_bytes: np.ndarray
     back = max(int(k), low + int(gaps[-1]) + 1 if len(gaps) else 0)
     if back > low:
         return back
-    while high < len(data) and word_bytes[data[high]] and high not in offsets:
-        high += 1
+    after = int(np.searchsorted(offsets, high))
+    end = int(offsets[after]) if after < len(offsets) else len(data)
+    while high < end:
+        step = min(end, high + BLOCK)
+        gaps = np.flatnonzero(~word_bytes[data[high:step]])
+        if len(gaps):
+            return high + int(gaps[0])
+        high = step
     return high
 
 
