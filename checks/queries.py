@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,11 +25,14 @@ from tallyworks.plans import balances, fraud, ledger, onboarding, scd2, tca
 from tallyworks.rules import RiskRules
 from tallyworks.session import configure, scratch_dir
 from tallyworks.sinks import (
+    Expect,
     append_rows,
     ensure_table,
     overwrite_table_partitions,
     replace_table,
     stage,
+    write_checked,
+    write_partitions,
     write_run,
 )
 from tallyworks.sources import read_csv, read_json, read_parquet, read_table
@@ -264,6 +268,81 @@ def _sink_run_date(i: Inputs) -> DataFrame:
     return read_parquet(i.spark, path)
 
 
+LATE_DAYS = [LEDGER_DAY + dt.timedelta(days=k) for k in range(3)]
+SNAPSHOT_STAMP = dt.datetime(2024, 1, 5)
+
+
+def _balances_restated(i: Inputs) -> DataFrame:
+    """Three days of snapshots without the transactions of one channel, which come in afterwards."""
+    comes_late = F.col("channel") == "5-LOW"
+    early, late = i.fact.filter(~comes_late), i.fact.filter(comes_late)
+    snapshots = i.prev_balances
+    days = []
+    for day in LATE_DAYS:
+        movements = balances.daily_movements(early, day, null_accounts=False)
+        days.append(stage(balances.eod_balances(i.accounts, snapshots, movements, day, SNAPSHOT_STAMP), "balances"))
+        snapshots = days[-1]
+    snapshots = reduce(DataFrame.unionByName, days)
+    moved = stage(balances.late_movements(late.filter(F.col("trx_date").isin(LATE_DAYS))), "late")
+    table, parts = scratch_dir(i.spark, "snapshots"), ["balance_date", "region_code"]
+    write_partitions(snapshots, table, parts)
+    written = i.spark.read.schema(snapshots.schema).parquet(table)
+    restated = stage(balances.restated_balances(written, moved, SNAPSHOT_STAMP, accounts=i.accounts), "restated")
+    write_partitions(stage(balances.replaced_partitions(written, restated), "replaced"), table, parts)
+    return i.spark.read.schema(snapshots.schema).parquet(table)
+
+
+def _unposted(i: Inputs) -> DataFrame:
+    movements = balances.daily_movements(i.fact, LEDGER_DAY)
+    known = i.accounts.filter(F.col("account_type") != "LOAN")  # loans are kept elsewhere
+    return balances.unposted_movements(known, movements)
+
+
+def _scd2_backdated(i: Inputs) -> DataFrame:
+    """The last day first, then all nine days."""
+    known = stage(scd2.scd2_apply(i.scd_dim, i.changes, SCD_DAY), "history")
+    return scd2.scd2_backdated(known, scd2.updates_by_day(i.scd_updates, tie_break=SEQ))
+
+
+def _profile_incremental(i: Inputs) -> DataFrame:
+    moments = stage(fraud.daily_moments(i.cc_transactions), "moments")
+    return fraud.profile_from_moments(moments, FRAUD_DAY)
+
+
+def _scores_with_context(i: Inputs) -> DataFrame:
+    context = fraud.hour_before(i.cc_transactions, FRAUD_DAY)
+    moments = stage(fraud.daily_moments(i.cc_transactions), "moments")
+    return fraud.fraud_scores(i.cc_transactions, i.accounts, i.merchants, FRAUD_DAY, context=context, moments=moments)
+
+
+def _distinct_sketch(i: Inputs) -> DataFrame:
+    """Destinations per account over all days from daily sketches, next to the exact number."""
+    keys = ["source_account_id"]
+    sketches = stage(ledger.destination_sketches(i.fact, keys), "sketches")
+    found = ledger.distinct_destinations(sketches, SCD_DAY, SCD_DAY + dt.timedelta(days=6), keys)
+    exact = i.fact.groupBy(*keys).agg(F.count_distinct("destination_account_id").alias("exact_destinations"))
+    near = F.abs(F.col("distinct_destinations") - F.col("exact_destinations")) <= 0.02 * F.col("exact_destinations")
+    return exact.join(found, keys).select(*keys, "exact_destinations", near.alias("within_two_percent"))
+
+
+def _checked_write(i: Inputs) -> DataFrame:
+    """What a checked write observes: rows, updates that name no known customer, repeated customers, rows by day."""
+    updates = i.scd_updates.withColumn("day", F.to_date("update_ts")).join(
+        i.ledger_customers.select("customer_id", F.lit(True).alias("known")), "customer_id", "left"
+    )
+    where = scratch_dir(i.spark, "updates")
+    report = write_checked(
+        updates,
+        lambda staged: write_partitions(staged, where, ["day"]),
+        Expect(not_null=("customer_id", "update_ts"), unique=("customer_id", "seq"), most={"known IS NULL": 10**12, "email_address IS NULL": 10**12}),
+        ["day"],
+    )
+    seen = [("rows", report["rows"]), ("written", report["written"]), ("read_back", read_parquet(i.spark, where).count())]
+    seen += [("unknown_customers", report["kinds"]["known IS NULL"]), ("without_email", report["kinds"]["email_address IS NULL"])]
+    seen += [("repeated_keys", report["repeated_keys"]), *((f"day {day.isoformat()}", n) for (day,), n in report["partitions"].items())]
+    return i.spark.createDataFrame(seen, "observed string, number long")
+
+
 BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     # ledger
     "day_slice": lambda i: i.day,
@@ -272,6 +351,10 @@ BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     ),
     "rolling_amount": _rolling_amount,
     "ledger_enrich": lambda i: i.enriched(),
+    "ledger_enrich_as_of": lambda i: ledger.enrich_ledger_as_of(
+        i.raw_transactions, i.accounts, i.ledger_customer_history, LEDGER_DAY
+    ),
+    "distinct_destinations_sketch": _distinct_sketch,
     "risk_daily_summary": lambda i: ledger.risk_daily_summary(i.enriched(), LEDGER_DAY, RISK),
     "daily_credits": lambda i: balances.daily_credits(i.fact, LEDGER_DAY),
     "daily_debits": lambda i: balances.daily_debits(i.fact, LEDGER_DAY),
@@ -279,6 +362,8 @@ BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "eod_balances": lambda i: i.balances,
     "interest_accrual": lambda i: i.balances.select("account_id", "account_type", "ending_balance", "interest_accrued"),
     "overdrawn_flag": _overdrawn,
+    "balances_restated": _balances_restated,
+    "unposted_movements": _unposted,
     # customers
     "latest_kyc": lambda i: onboarding.latest_kyc(i.kyc),
     "funding_totals": lambda i: onboarding.funding_totals(i.funding_accounts),
@@ -292,6 +377,7 @@ BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "scd2_new_rows": lambda i: scd2.scd2_new(i.changes, SCD_DAY),
     "scd2_append_log": lambda i: scd2.scd2_append(i.scd_dim, i.changes, SCD_DAY),
     "scd2_snapshot": lambda i: scd2.scd2_apply(i.scd_dim, i.changes, SCD_DAY),
+    "scd2_backdated": _scd2_backdated,
     # card fraud
     "geo_distance": _geo_distance,
     "account_profile_90d": lambda i: fraud.account_profile(i.cc_transactions, FRAUD_DAY),
@@ -300,6 +386,8 @@ BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "amount_zscore": _amount_zscore,
     "risk_points": _risk_points,
     "fraud_scores": lambda i: i.fraud_scores(),
+    "account_profile_incremental": _profile_incremental,
+    "fraud_scores_with_context": _scores_with_context,
     # transaction costs
     "classify_fills": lambda i: i.fills,
     "first_fill": lambda i: tca.boundary_fill(i.fills, tie_break=SEQ),
@@ -327,6 +415,7 @@ BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "sink_append": _sink_append,
     "sink_orc_partitioned": _sink_orc,
     "sink_run_date": _sink_run_date,
+    "sink_checked": _checked_write,
 }
 
 

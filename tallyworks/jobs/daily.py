@@ -5,19 +5,22 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tallyworks import schemas
 from tallyworks.plans import balances, fraud, ledger, onboarding, scd2, tca
 from tallyworks.rules import BalanceRules, FraudRules, LedgerRules, MovementRules, RiskRules, SegmentRules, TcaRules
 from tallyworks.session import configure
 from tallyworks.sinks import (
+    Expect,
     append_rows,
     ensure_table,
     overwrite_table_partitions,
     replace_day,
     replace_table,
     stage,
+    write_checked,
     write_run,
 )
 from tallyworks.sources import read_csv, read_json, read_parquet, read_table
@@ -33,6 +36,8 @@ CUSTOMER_UPDATES = "fin_landing.customer_updates"
 CUSTOMER_SCD2 = "fin_core.dim_customers_scd2"
 RISK_SUMMARY = "fin_mart.risk_daily_summary"
 FRAUD_SCORES = "fin_mart.fraud_scores_daily"
+LATE_TRANSACTIONS = "fin_landing.late_transactions"
+ACCOUNT_MOMENTS = "fin_core.account_daily_moments"
 
 
 def run_ledger(
@@ -85,6 +90,29 @@ def run_daily_balances(
     return replace_day(stage(snapshot, "balances"), target, ["balance_date", "region_code"], run_date)
 
 
+def run_balance_restatement(
+    spark: SparkSession,
+    *,
+    late: str = LATE_TRANSACTIONS,
+    accounts: str = DIM_ACCOUNTS,
+    target: str = DAILY_BALANCES,
+    as_of_ts: dt.datetime | None = None,
+    rules: BalanceRules = BalanceRules(),
+    movement_rules: MovementRules = MovementRules(),
+) -> int:
+    """Carry facts that came after the snapshots of their days through all later snapshots; returns the rows written.
+
+    Only the (day, region) partitions that hold a changed row are written anew. ``late`` holds facts that no snapshot has taken
+    up yet: they are facts of their own afterwards, and a second run with the same ones would count them twice.
+    """
+    configure(spark)
+    snapshots = read_table(spark, target)
+    moved = stage(balances.late_movements(read_table(spark, late), movement_rules), "late")
+    restated = stage(balances.restated_balances(snapshots, moved, as_of_ts, rules, read_table(spark, accounts)), "restated")
+    replaced = stage(balances.replaced_partitions(snapshots, restated), "replaced")
+    return overwrite_table_partitions(replaced, target, ["balance_date", "region_code"])
+
+
 def run_onboarding(
     spark: SparkSession,
     customers_path: str,
@@ -143,6 +171,44 @@ def run_customer_history(
     return replace_table(version, target, [])
 
 
+def run_customer_backfill(
+    spark: SparkSession,
+    first: dt.date,
+    *,
+    updates: str = CUSTOMER_UPDATES,
+    history: str = CUSTOMER_SCD2,
+    tie_break: Sequence[str] = (),
+) -> dict[str, int]:
+    """Bring updates that arrived late into the history, whatever days they and the history are of.
+
+    ``first`` is the earliest late day; from it on all updates are read again, and the history is replaced
+    once its next version is staged. A result with two versions of one customer that begin together is refused. Returns the rows written and the updates left out for want of a customer.
+    """
+    configure(spark)
+    landed = read_table(spark, updates)
+    rejected = Observation()
+    since = landed.filter(F.col("timestamp") >= F.lit(first).cast("timestamp"))
+    since = since.observe(rejected, F.count_if(F.col("customer_id").isNull()).alias("rejected"))
+    daily = scd2.updates_by_day(since, ts="timestamp", tie_break=tie_break)
+    version = scd2.scd2_backdated(read_table(spark, history, schemas.CUSTOMER_SCD2), daily)
+    report = write_checked(
+        version,
+        lambda staged: overwrite_table_partitions(staged, history, []),
+        Expect(not_null=("customer_id", "effective_start_date"), unique=("customer_id", "effective_start_date")),
+    )
+    return {"written": report["written"], "rejected": rejected.get["rejected"]}
+
+
+def run_account_moments(
+    spark: SparkSession, run_date: dt.date, *, trx: str = CC_TRANSACTIONS, target: str = ACCOUNT_MOMENTS
+) -> int:
+    """Store the day's moments per account, from which ``run_fraud_scores`` merges its profiles; a rerun replaces the day."""
+    configure(spark)
+    ensure_table(spark, target, schemas.ACCOUNT_MOMENTS, ["trx_date"])
+    day = fraud.trx_of_day(read_table(spark, trx, schemas.CC_TRANSACTIONS), run_date)
+    return replace_day(fraud.daily_moments(day), target, ["trx_date"], run_date)
+
+
 def run_fraud_scores(
     spark: SparkSession,
     run_date: dt.date,
@@ -152,16 +218,25 @@ def run_fraud_scores(
     merchants: str = DIM_MERCHANTS,
     target: str = FRAUD_SCORES,
     rules: FraudRules = FraudRules(),
+    moments: str | None = None,
+    across_midnight: bool = False,
 ) -> int:
-    """Score the day's card transactions; a rerun replaces the day."""
+    """Score the day's card transactions; a rerun replaces the day.
+
+    With a table of ``moments`` the 90 days before are not read again; with ``across_midnight`` the first hour's velocity counts the
+    last hour of the day before.
+    """
     configure(spark)
     ensure_table(spark, target, schemas.FRAUD_SCORES, ["scoring_date"])
+    facts = read_table(spark, trx, schemas.CC_TRANSACTIONS)
     scores = fraud.fraud_scores(
-        read_table(spark, trx, schemas.CC_TRANSACTIONS),
+        facts,
         read_table(spark, accounts),
         read_table(spark, merchants, schemas.DIM_MERCHANTS),
         run_date,
         rules,
+        fraud.hour_before(facts, run_date, rules) if across_midnight else None,
+        read_table(spark, moments) if moments else None,
     )
     return replace_day(scores, target, ["scoring_date"], run_date)
 

@@ -4,6 +4,7 @@ from tallyworks.operators.latest import boundary_row, keep_latest_ties, latest_p
 from tallyworks.operators.rolling import rolling_sum, trailing_count
 from tallyworks.operators.skew import HotSplit, hot_key_cuts, spread_over_slices
 from tallyworks.operators.timejoin import asof_lookup, interval_vwap
+from tallyworks.operators.validity import valid_at
 
 __all__ = [
     "HotSplit",
@@ -16,4 +17,5 @@ __all__ = [
     "rolling_sum",
     "spread_over_slices",
     "trailing_count",
+    "valid_at",
 ]

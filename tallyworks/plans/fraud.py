@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyworks.functions import haversine_km
@@ -38,13 +38,66 @@ def account_profile(trx: DataFrame, run_date: dt.date, rules: FraudRules = Fraud
     )
 
 
-def _account_features(trx: DataFrame, accounts: DataFrame, run_date: dt.date, rules: FraudRules) -> DataFrame:
-    """Home location and profile per account; joined before they meet the transactions."""
-    return accounts.select("account_id", "home_lat", "home_lon").join(
-        account_profile(trx, run_date, rules), "account_id", "left"
+def daily_moments(trx: DataFrame) -> DataFrame:
+    """Per account and day what profiles of any period are merged from: counts, sums and squared deviations of the amount.
+
+    The sum is kept as that of the whole numbers, which is exact, and that of the rests, so the means of days differ by what they
+    really differ. Stored by ``trx_date``, a day's rows are written once; profiles of later days read them instead of facts.
+    """
+    counted = F.count("amount")
+    whole = F.rint("amount")
+    return trx.groupBy("account_id", "trx_date").agg(
+        F.count("trx_id").alias("n_trx"),
+        counted.alias("n_amounts"),
+        F.sum(whole).alias("whole_sum"),
+        F.sum(F.col("amount") - whole).alias("rest_sum"),
+        (F.var_pop("amount") * counted).alias("squared_deviations"),
+    )
+
+
+def profile_from_moments(moments: DataFrame, run_date: dt.date, rules: FraudRules = FraudRules()) -> DataFrame:
+    """The profile of ``account_profile`` from the daily moments of the period.
+
+    Means and deviations are merged around a whole number next to the smallest daily mean, never as differences of sums of squares,
+    so amounts that differ little from one another keep their deviation however large they are. Rows of one
+    account and day add up, so a day that is stored in parts needs no second pass.
+    """
+    first = run_date - dt.timedelta(days=rules.profile_days)
+    last = run_date - dt.timedelta(days=1)
+    period = moments.filter(F.col("trx_date").between(F.lit(first), F.lit(last)))
+    n = F.col("n_amounts")
+    near = F.min(F.rint(F.try_divide(F.col("whole_sum"), n))).over(Window.partitionBy("account_id"))
+    shift = F.col("whole_sum") - n * F.col("_near") + F.col("rest_sum")
+    merged = (
+        period.withColumn("_near", near)
+        .withColumn("_shift", shift)
+        .groupBy("account_id")
+        .agg(
+            F.sum("n_trx").alias("_trx"),
+            F.sum(n).alias("_n"),
+            F.min("_near").alias("_near"),
+            F.sum("_shift").alias("_first"),
+            F.sum(F.col("squared_deviations") + F.try_divide(F.col("_shift") * F.col("_shift"), n)).alias("_second"),
+        )
+    )
+    off = F.try_divide(F.col("_first"), F.col("_n"))
+    spread = F.greatest(F.col("_second") - F.col("_first") * off, F.lit(0.0))
+    return merged.select(
+        "account_id",
+        (F.col("_near") + off).alias("avg_trx_amount_90d"),
+        F.coalesce(F.when(F.col("_n") > 1, F.sqrt(spread / (F.col("_n") - 1))), F.lit(0.0)).alias("stddev_trx_amount_90d"),
+        (F.col("_trx") / F.lit(float(rules.profile_days))).alias("avg_daily_trx_count"),
     )
 
 
+def _account_features(
+    trx: DataFrame, accounts: DataFrame, run_date: dt.date, rules: FraudRules, moments: DataFrame | None = None
+) -> DataFrame:
+    """Home location and profile per account; joined before they meet the transactions."""
+    profile = account_profile(trx, run_date, rules) if moments is None else profile_from_moments(moments, run_date, rules)
+    return accounts.select("account_id", "home_lat", "home_lon").join(profile, "account_id", "left")
+
+
 def with_distance(df: DataFrame) -> DataFrame:
     points = [F.col(c) for c in ("home_lat", "home_lon", "merchant_lat", "merchant_lon")]
     return df.withColumn("distance_from_home_km", haversine_km(*points))
@@ -119,16 +172,33 @@ def with_fraud_score(df: DataFrame, rules: FraudRules = FraudRules()) -> DataFra
     return df.withColumn("fraud_score", score).withColumn("is_fraud_alert", F.col("fraud_score") >= rules.alert_score)
 
 
+def hour_before(trx: DataFrame, run_date: dt.date, rules: FraudRules = FraudRules()) -> DataFrame:
+    """Transactions that the velocity of the run date's first hour looks back to, from the day before."""
+    midnight = F.lit(run_date).cast("timestamp")
+    oldest = midnight - F.expr(f"INTERVAL {rules.velocity_seconds} SECONDS")
+    days = F.col("trx_date").between(F.lit(run_date - dt.timedelta(days=1 + rules.velocity_seconds // 86_400)), F.lit(run_date - dt.timedelta(days=1)))
+    return trx.filter(days & (F.col("trx_timestamp") >= oldest) & (F.col("trx_timestamp") < midnight))
+
+
 def scored_transactions(
-    trx: DataFrame, accounts: DataFrame, merchants: DataFrame, run_date: dt.date, rules: FraudRules = FraudRules()
+    trx: DataFrame,
+    accounts: DataFrame,
+    merchants: DataFrame,
+    run_date: dt.date,
+    rules: FraudRules = FraudRules(),
+    context: DataFrame | None = None,
+    moments: DataFrame | None = None,
 ) -> DataFrame:
     """The day's transactions with every feature and the points.
 
+    ``context`` (from ``hour_before``) lets the velocity of the first hour see the day before; with ``moments`` the profile
+    comes from stored daily moments, and of the facts only the day is read.
+
     Velocity and account features are joined with each other by account, then once with the
     transactions by account and second. A hot account is so spread over its seconds.
     """
     day = trx_of_day(trx, run_date)
-    features = velocity(day, rules).join(_account_features(trx, accounts, run_date, rules), "account_id")
+    features = velocity(day, rules, context).join(_account_features(trx, accounts, run_date, rules, moments), "account_id")
     joined = _join_by_second(day, features, "inner").join(
         merchants.select("merchant_id", "merchant_lat", "merchant_lon"), "merchant_id", "left"
     )
@@ -136,10 +206,16 @@ def scored_transactions(
 
 
 def fraud_scores(
-    trx: DataFrame, accounts: DataFrame, merchants: DataFrame, run_date: dt.date, rules: FraudRules = FraudRules()
+    trx: DataFrame,
+    accounts: DataFrame,
+    merchants: DataFrame,
+    run_date: dt.date,
+    rules: FraudRules = FraudRules(),
+    context: DataFrame | None = None,
+    moments: DataFrame | None = None,
 ) -> DataFrame:
-    """Score and alert flag per transaction of the run date."""
-    return scored_transactions(trx, accounts, merchants, run_date, rules).select(
+    """Score and alert flag per transaction of the run date; ``context`` and ``moments`` as for ``scored_transactions``."""
+    return scored_transactions(trx, accounts, merchants, run_date, rules, context, moments).select(
         "trx_id",
         "account_id",
         "amount",

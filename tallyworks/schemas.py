@@ -163,6 +163,15 @@ DIM_MERCHANTS = _schema(
     merchant_lat="double",
     merchant_lon="double",
 )
+ACCOUNT_MOMENTS = _schema(
+    account_id="string",
+    trx_date="date",
+    n_trx="long",
+    n_amounts="long",
+    whole_sum="double",
+    rest_sum="double",
+    squared_deviations="double",
+)
 FRAUD_SCORES = _schema(
     trx_id="string",
     account_id="string",

@@ -1,5 +1,6 @@
 """Writers: each can be run again for the same day with the same result, except the append."""
 
+from tallyworks.sinks.checks import CheckFailed, Expect, repeated_keys, write_checked
 from tallyworks.sinks.tables import (
     append_rows,
     ensure_table,
@@ -12,12 +13,16 @@ from tallyworks.sinks.tables import (
 )
 
 __all__ = [
+    "CheckFailed",
+    "Expect",
     "append_rows",
     "ensure_table",
     "overwrite_table_partitions",
+    "repeated_keys",
     "replace_day",
     "replace_table",
     "stage",
+    "write_checked",
     "write_partitions",
     "write_run",
 ]

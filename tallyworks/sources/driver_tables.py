@@ -43,6 +43,21 @@ SELECT c_custkey AS customer_id,
     WHEN 'FURNITURE' THEN 'PREMIUM' ELSE 'PRIVATE_WEALTH' END AS customer_segment,
   CASE WHEN c_custkey % 6 = 0 THEN 'PENDING' ELSE 'VERIFIED' END AS kyc_status
 FROM {customer} WHERE c_custkey % 13 <> 0""",
+    "customer_moments": """
+SELECT *, CAST('2024-01-02 00:00:00' AS TIMESTAMP) + INTERVAL '1' MINUTE * (customer_id * 17 % 700) AS first_change,
+  CAST('2024-01-02 14:00:00' AS TIMESTAMP) + INTERVAL '1' MINUTE * (customer_id * 29 % 580) AS second_change
+FROM {ledger_customers}""",
+    "ledger_customer_history": """
+SELECT customer_id, customer_segment, kyc_status, CAST('2020-01-01 00:00:00' AS TIMESTAMP) AS effective_start_date,
+  first_change AS effective_end_date
+FROM {customer_moments}
+UNION ALL
+SELECT customer_id, 'PREMIUM', kyc_status, first_change,
+  CASE WHEN customer_id % 11 = 0 THEN second_change - INTERVAL '2' HOUR ELSE second_change END
+FROM {customer_moments}
+UNION ALL
+SELECT customer_id, 'RETAIL', 'VERIFIED', second_change, CAST('9999-12-31 23:59:59' AS TIMESTAMP)
+FROM {customer_moments}""",
     "raw_transactions": """
 SELECT concat_ws('-', CAST(l_orderkey AS STRING), CAST(l_linenumber AS STRING), CAST(l_partkey AS STRING),
     CAST(l_suppkey AS STRING)) AS trx_uuid,
