@@ -23,10 +23,8 @@ import json
 import re
 import zlib
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 import tiktoken
@@ -35,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyworks.llm.common import map_arrow, saved
+from tallyworks.llm.parts import Memory, Pool
 from tallyworks.llm.words import flat, slices, words
 
 CAPACITY = 4096
@@ -42,8 +41,8 @@ END = 1
 #: (share of the capacity from which a length counts as large, rounded sizes) to try.
 CHOICES = ((0.25, 16), (0.25, 24), (0.5, 16), (0.5, 32))
 BUCKET_ROWS = 100_000
-#: Strings between white space whose ids a Python worker remembers.
-REMEMBERED = 700_000
+#: Strings between white space whose ids a task remembers.
+REMEMBERED = 500_000
 #: Everything but the white space that always separates words.
 NO_BLANK = np.ones(256, bool)
 NO_BLANK[[0x20, 0x0A, 0x0D, 0x09]] = False
@@ -84,52 +83,36 @@ class _Encoder:
         self.ends = np.array([b.endswith(b"\0") for b, _ in named])
         self.split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
         self.plain = re.compile(r"[!-~\u00A1-\u012F\u0131-\u024F]+")
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known: dict[int, int] = {}
-        self.at = self.size = np.empty(0, np.int64)
-        self.pool = np.empty(0, np.uint32)
+        self.memory = Memory(1, REMEMBERED)
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text's begin and end."""
         w = words(data, offsets, NO_BLANK)
-        codes, parts = pd.factorize(w.hash)
-        keys = parts.tolist()
-        slots = list(map(self.known.get, keys))
-        if None in slots:
-            if len(self.known) + slots.count(None) > REMEMBERED:
-                self._forget()
-                slots = [None] * len(keys)
-            first = np.empty(len(keys), np.int64)
-            first[codes[::-1]] = np.arange(len(codes))[::-1]
-            new = [k for k, slot in enumerate(slots) if slot is None]
-            raw, spans = w.data.tobytes(), zip(w.start[first[new]].tolist(), w.end[first[new]].tolist())
-            self._learn([keys[k] for k in new], [raw[a:b].decode("utf-8", "replace") for a, b in spans])
-            slots = list(map(self.known.get, keys))
-        slot = np.array(slots, np.int64)[codes]
-        size = self.size[slot]
-        after = np.cumsum(size)
-        ids = self.pool[np.repeat(self.at[slot] - after + size, size) + np.arange(after[-1] if len(after) else 0)]
-        bounds = np.concatenate([[0], after])[np.searchsorted(w.row, np.arange(len(offsets)))]
-        return ids, bounds
-
-    def _learn(self, keys: list[int], new: list[str]) -> None:
+        raw = w.data.tobytes()
+
+        def learn(new: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+            spans = zip(w.start[new].tolist(), w.end[new].tolist())
+            return [self._learn([raw[a:b].decode("utf-8", "replace") for a, b in spans])]
+
+        slot = self.memory.slots(w.hash, learn)
+        ids, size = self.memory.pools[0].take(slot)
+        after = np.concatenate([[0], np.cumsum(size)])
+        return ids, after[np.searchsorted(w.row, np.arange(len(offsets)))]
+
+    def _learn(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of these parts in a row, and how many each has."""
         words_of = [self._words(p) for p in new]
         tokens = self.ranks.encode_to_numpy("".join([f"{w}\0" for some in words_of if some for w in some]))
         after = np.concatenate([[0], np.flatnonzero(self.ends[tokens]) + 1])
         cuts = after[np.cumsum([0, *(len(some or ()) for some in words_of)])]
-        ids, size = [self.number[tokens]], np.diff(cuts)
-        at = cuts[:-1] + len(self.pool)
-        end = len(self.pool) + len(tokens)
-        for k, some in enumerate(words_of):
-            if some is None:
-                found = self.tokenizer.encode(new[k], add_special_tokens=False).ids
-                ids.append(np.array(found, np.uint32))
-                at[k], size[k], end = end, len(found), end + len(found)
-        self.known.update(zip(keys, range(len(self.at), len(self.at) + len(keys))))
-        self.at, self.size = np.concatenate([self.at, at]), np.concatenate([self.size, size])
-        self.pool = np.concatenate([self.pool, *ids])
+        others = [k for k, some in enumerate(words_of) if some is None]
+        found = [np.array(self.tokenizer.encode(new[k], add_special_tokens=False).ids, np.uint32) for k in others]
+        pool = Pool()
+        size = np.append(np.diff(cuts), [len(x) for x in found]).astype(np.int64)
+        pool.add(np.concatenate([self.number[tokens], *found]), size)
+        place = np.arange(len(new))
+        place[others] = len(new) + np.arange(len(others))
+        return pool.take(place)
 
     def _words(self, part: str) -> list[str] | None:
         """The tokenizer's words of a plain part; None for any other."""
@@ -142,11 +125,6 @@ class _Encoder:
         return self.split.findall(part.lower())
 
 
-@lru_cache(maxsize=1)
-def _encoder(path: str) -> _Encoder:
-    return _Encoder(path)
-
-
 def pieces(
     docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end: int = END, with_ids: bool = False
 ) -> DataFrame:
@@ -161,7 +139,7 @@ def pieces(
     ]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(tokenizer)
+        encode = _Encoder(tokenizer)  # goes with the task, and what it remembers with it
         last = np.array([end], np.uint32)
         for batch in (part for whole in batches for part in slices(whole, "text")):
             ids, bounds = encode(*flat(batch.column(1)))

@@ -12,11 +12,12 @@ enough, chosen by hash); scoring reads every whole text.
 
 Defined cases: null and empty texts have no sentences and score 0; documents with conflicting labels
 count as toxic; labels without documents are ignored; without any training label of one kind all scores
-are 0; repeated rows are scored each by itself; extra columns are kept.
+are 0; repeated rows are scored each by itself; extra columns are kept, and an output name that is taken raises an error.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyworks.llm import words as W
-from tallyworks.llm.common import map_arrow, saved
+from tallyworks.llm.common import map_arrow, saved, untaken
 
 BITS = 20
 #: Besides whole words, so many of their first bytes are features.
@@ -53,7 +54,9 @@ def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, W.Wo
     """Features of all words, the sentence of each word, the row of each sentence, words, sentence ends."""
     data, offsets = W.flat(column)
     w = W.words(data, offsets, W.ALNUM, PREFIXES)
-    both = (np.concatenate([w.hash[:, None], w.prefix], axis=1) >> np.uint64(64 - BITS)).astype(np.int32)
+    both = np.empty((len(w.hash), 1 + len(PREFIXES)), np.int32)
+    both[:, 0] = w.hash >> np.uint64(64 - BITS)
+    both[:, 1:] = w.prefix >> np.uint64(64 - BITS)
     ends = np.flatnonzero(_END[data])
     mark = np.searchsorted(ends, w.start)
     change = np.ones(len(mark), bool)
@@ -112,30 +115,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 ["label", "features", "sizes"],
             )
 
-    found = map_arrow(_training(docs, labels, id_col, text_col, label_col, sample), extract, "label int, features binary, sizes binary")
-    bags = [r for r in found.orderBy(F.xxhash64("features"), "label").collect() if r["sizes"]]
-    y = np.array([r["label"] for r in bags], float)
-    if not len(y) or y.min() == y.max():
+    bags = saved(map_arrow(_training(docs, labels, id_col, text_col, label_col, sample), extract, "label int, features binary, sizes binary"), "bags")
+    bags = bags.where(F.octet_length("sizes") > 0)
+    many = {r["label"]: r["count"] for r in bags.groupBy("label").count().collect()}
+    if len(many) < 2:
         return Model(np.zeros(1 << BITS), -30.0)
-    has = np.zeros((2, 1 << BITS))
-    for r in bags:
-        has[r["label"], np.unique(np.frombuffer(r["features"], np.int32))] += 1
-    many = np.array([(y == 0).sum(), (y == 1).sum()], float)
-    rate, share = has / many[:, None], has.sum(axis=0) / many.sum()
-    useful = rate[1] - rate[0] > CERTAINTY * np.sqrt(share * (1 - share) * (1 / many).sum() + 1e-12)
-    kinds = np.flatnonzero(useful)
-    code = np.full(1 << BITS, -1, np.int32)
-    code[kinds] = np.arange(len(kinds))
-    bag, sentence, feature, n = [], [], [], 0  # per sentence; per use of a feature
-    for k, r in enumerate(bags):
-        sizes = np.frombuffer(r["sizes"], np.int32)
-        used = code[np.frombuffer(r["features"], np.int32).reshape(-1, 1 + len(PREFIXES))]
-        where, which = np.nonzero(used >= 0)
-        sentence.append(np.repeat(np.arange(len(sizes)), sizes)[where] + n)
-        feature.append(used[where, which])
-        bag.append(np.full(len(sizes), k))
-        n += len(sizes)
-    bag, sentence, feature = np.concatenate(bag), np.concatenate(sentence), np.concatenate(feature)
+    kinds = _useful(bags, many)
+    y, bag, often, sentence, feature = _uses(bags, kinds)
     # the sample's labels count as often as half and half
     importance = np.where(y == 1, 0.5 / many[1], 0.5 / many[0])
     w, first, second = np.zeros(len(kinds) + 1), np.zeros(len(kinds) + 1), np.zeros(len(kinds) + 1)
@@ -143,10 +129,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     for step in range(1, STEPS + 1):
         odds = w[-1] + np.bincount(sentence, w[feature], minlength=len(bag))
         p = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
-        safe = np.bincount(bag, np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=len(y))
+        safe = np.bincount(bag, often * np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=len(y))
         score = 1 - np.exp(safe)
         told = NOISE + (1 - 2 * NOISE) * score  # chance that the label says toxic
-        slope = (importance * (1 - 2 * NOISE) * (1 - score) * np.where(y == 1, -1 / told, 1 / (1 - told)))[bag] * p
+        slope = (importance * (1 - 2 * NOISE) * (1 - score) * np.where(y == 1, -1 / told, 1 / (1 - told)))[bag] * p * often
         gradient = np.append(np.bincount(feature, slope[sentence], minlength=len(kinds)), slope.sum())
         gradient[:-1] += 1e-6 * w[:-1]
         first = 0.9 * first + 0.1 * gradient
@@ -157,8 +143,72 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return Model(weights, w[-1])
 
 
+def _useful(bags: DataFrame, many: dict[int, int]) -> np.ndarray:
+    """Features that toxic documents have surely more often than others, by counts of documents."""
+
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        has = np.zeros((2, 1 << BITS), np.int32)
+        for batch in batches:
+            for label, used in zip(batch.column("label").to_pylist(), batch.column("features")):
+                has[label, np.unique(np.frombuffer(used.as_buffer(), np.int32))] += 1
+        label, feature = np.nonzero(has)
+        yield pa.RecordBatch.from_arrays([pa.array(feature, pa.int32()), pa.array(label, pa.int32()), pa.array(has[label, feature], pa.int64())], ["feature", "label", "n"])
+
+    counts = map_arrow(bags.select("label", "features"), once, "feature int, label int, n long").groupBy("feature").agg(
+        *[F.sum(F.when(F.col("label") == k, F.col("n")).otherwise(0)).alias(f"_n{k}") for k in (0, 1)]
+    )
+    clean, toxic = F.col("_n0"), F.col("_n1")
+    share = (clean + toxic) / (many[0] + many[1])
+    error = F.sqrt(share * (1 - share) * (1 / many[0] + 1 / many[1]) + 1e-12)
+    found = counts.where(toxic / many[1] - clean / many[0] > CERTAINTY * error).select("feature").toArrow()  # ``1 << BITS`` at most
+    return np.sort(found["feature"].to_numpy())
+
+
+def _uses(bags: DataFrame, kinds: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Labels of the documents; document and number of every kind of sentence; sentence and feature of every use.
+
+    Sentences of a document with the same features come as one with their number, those without any as one of all: what
+    comes to the driver is bounded by the useful features and the sample, not by the length of texts.
+    """
+    shared = bags.sparkSession.sparkContext.broadcast(kinds)
+
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code = np.full(1 << BITS, -1, np.int32)
+        code[shared.value] = np.arange(len(shared.value))
+        for batch in batches:
+            out = []
+            for used, sizes in zip(batch.column("features"), batch.column("sizes")):
+                sizes = np.frombuffer(sizes.as_buffer(), np.int32)
+                used = code[np.frombuffer(used.as_buffer(), np.int32)].reshape(-1, 1 + len(PREFIXES))
+                where, which = np.nonzero(used >= 0)
+                sentence, feature = np.repeat(np.arange(len(sizes)), sizes)[where], used[where, which]
+                seen: Counter[bytes] = Counter()
+                order = np.lexsort((feature, sentence))
+                feature, cuts = feature[order], np.flatnonzero(np.diff(sentence[order], prepend=-1))
+                for a, b in zip(cuts, [*cuts[1:], len(feature)]):
+                    seen[feature[a:b].tobytes()] += 1
+                seen[b""] = len(sizes) - len(cuts)
+                out.append([{"features": x, "n": n} for x, n in sorted(seen.items()) if n])
+            kind = pa.list_(pa.struct([("features", pa.binary()), ("n", pa.int64())]))
+            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(out, kind)], ["label", "sentences"])
+
+    found = map_arrow(bags, reduce, "label int, sentences array<struct<features:binary,n:bigint>>").toArrow()
+    rows = sorted(zip(found["label"].to_pylist(), found["sentences"].to_pylist()), key=lambda r: (r[0], [(s["features"], s["n"]) for s in r[1]]))
+    y, bag, often, sentence, feature = np.array([label for label, _ in rows], float), [], [], [], []
+    for k, (_, sentences) in enumerate(rows):
+        for s in sentences:
+            used = np.frombuffer(s["features"], np.int32)
+            sentence.append(np.full(len(used), len(bag)))
+            feature.append(used)
+            bag.append(k)
+            often.append(s["n"])
+    empty = [np.empty(0, np.int64)]
+    return y, np.array(bag, np.int64), np.array(often, float), np.concatenate(empty + sentence), np.concatenate(empty + feature).astype(np.int64)
+
+
 def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score", spans_col: str | None = None, least: float = 0.5) -> DataFrame:
     """``docs`` with each whole text's score and, on demand, its sentences of ``least`` or more."""
+    untaken(docs, score_col, *([spans_col] if spans_col else []))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     span = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("score", T.DoubleType())])
     new = [T.StructField(score_col, T.DoubleType()), *([T.StructField(spans_col, T.ArrayType(span))] if spans_col else [])]
@@ -170,12 +220,12 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
             p, row, w, sentence, _ = known.sentences(column)
             out = [pa.array(noisy_or(p, row, batch.num_rows))]
             if spans_col:
+                offending = np.flatnonzero(p >= least)
+                low, high = np.searchsorted(sentence, [offending, offending + 1])
+                points = W.code_points(w.data, W.flat(column)[1], row[offending], np.stack([w.start[low], w.end[high - 1]]))
                 found = [[] for _ in range(batch.num_rows)]
-                for s in np.flatnonzero(p >= least):
-                    a, b = np.searchsorted(sentence, [s, s + 1])
-                    text, low = column[int(row[s])].as_py().encode(), int(W.flat(column)[1][row[s]])
-                    points = [len(text[: int(x) - low].decode("utf-8", "ignore")) for x in (w.start[a], w.end[b - 1])]
-                    found[int(row[s])].append({"start": points[0], "end": points[1], "score": float(p[s])})
+                for k, s in enumerate(offending.tolist()):
+                    found[int(row[s])].append({"start": int(points[0, k]), "end": int(points[1, k]), "score": float(p[s])})
                 kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
                 out.append(pa.array(found, kind))
             yield pa.RecordBatch.from_arrays([*batch.columns, *out], [*batch.schema.names, *(f.name for f in new)])

@@ -138,6 +138,12 @@ def _between_words(data: np.ndarray, offsets: np.ndarray, word_bytes: np.ndarray
     return high
 
 
+def code_points(data: np.ndarray, offsets: np.ndarray, row: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Byte places in ``data`` as code points from the start of their ``row``, in one pass over the bytes."""
+    before = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    return before[places] - before[offsets[row]]
+
+
 def runs(hashes: np.ndarray, n: int) -> np.ndarray:
     """Hash of each n words in a row, wherever they lie; empty if there are fewer."""
     if len(hashes) < n:
