@@ -6,6 +6,12 @@ its rare shingles suffice, l = 1; where its prefix reaches into shingles that ma
 prefix that must match more often costs less than the candidates it saves. A pair must match
 as often as the smaller l of the two says before its whole texts are compared.
 
+The order comes from document frequencies. Shingles far above the usual frequency are told by a table of ``1 << BITS``
+counters and stand last, by class. All others are counted exactly: they are dealt out by token, packed by the slice of
+documents that has them, and each bucket of tokens returns those that several sets hold, with their number. A shingle that a single set has
+goes no further, and a document whose prefix consists of such shingles has no candidates at all. Frequencies
+only decide the order and l, never the result.
+
 Equal sets are one vertex. Candidates are not expanded into all pairs: for each shingle, rounds compare
 every vertex with one hub and merge what is linked, and only vertices that are then still in different
 components are compared with each other. A candidate first has to pass a comparison of 256-byte sketches, the
@@ -13,8 +19,7 @@ parities of its shingles in SKETCH buckets: sets differ in at least as many shin
 bits, so no link is lost there either. So no link between components is missed, and a group of
 thousands of near copies costs about one comparison each.
 
-Frequencies come from a table of ``1 << BITS`` counters over the shingles of all documents; they only decide
-the order and l, never the result. Vertices are 64-bit hashes of whole sets, shingles 64-bit hashes.
+Vertices are 64-bit hashes of whole sets, shingles 64-bit hashes.
 
 Defined cases: null and empty texts, and texts without words, have an empty set and are linked with nothing;
 texts of fewer words than a shingle have one shingle; repeated rows are linked with each other; null
@@ -24,6 +29,7 @@ identifiers count as larger than all others; an empty table gives an empty resul
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +43,8 @@ from tallyworks.llm.components import components
 
 SIZE = 5
 BITS = 18
+#: Shingles of a bucket that is counted at once, about.
+BUCKET = 2_000_000
 MOST = 8
 #: Hubs per shingle in each round before the rest is compared in full. In the last round only vertices outside a
 #: shingle's main component look for hubs.
@@ -100,8 +108,16 @@ def with_sets(
 # ---- order by frequency
 
 
-def frequency_classes(docs: DataFrame, text_col: str = "text", size: int = SIZE) -> np.ndarray:
-    """A class 0 (rare) to 7 for each counter, from the shingles of all documents."""
+class Order(NamedTuple):
+    """What places shingles: a class for each counter, how many documents the first class starts at, buckets to count the others in."""
+
+    classes: np.ndarray
+    unit: float
+    buckets: int
+
+
+def shingle_order(docs: DataFrame, text_col: str = "text", size: int = SIZE) -> Order:
+    """Classes 0 (usual) to 7 of the counters, from the shingles of all documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << BITS, np.int64)
@@ -112,48 +128,213 @@ def frequency_classes(docs: DataFrame, text_col: str = "text", size: int = SIZE)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used])], ["slot", "n"])
 
     counted = map_arrow(docs.select(F.col(text_col).alias("text")), count, "slot int, n long")
-    rows = counted.groupBy("slot").agg(F.sum("n").alias("n")).toPandas()  # 1 << BITS rows at most
+    rows = counted.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # 1 << BITS rows at most
     counts = np.zeros(1 << BITS)
     counts[rows["slot"].to_numpy()] = rows["n"].to_numpy()
     usual = max(1.0, float(np.median(counts)))
     above = (counts - usual) / np.sqrt(usual)
-    return np.where(above < 4, 0, np.minimum(1 + np.log2(np.maximum(above, 4) / 4), _CLASSES - 1)).astype(np.uint8)
+    classes = np.where(above < 4, 0, np.minimum(1 + np.log2(np.maximum(above, 4) / 4), _CLASSES - 1)).astype(np.uint8)
+    return Order(classes, 4 * float(np.sqrt(usual)), int(max(1, -(-counts.sum() // BUCKET))))
+
+
+def _tokens(hashes: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    kind = classes[(hashes >> np.uint64(64 - BITS)).astype(np.int64)].astype(np.uint64)
+    return (kind << np.uint64(60)) | (hashes & np.uint64((1 << 60) - 1))
+
+
+def _usual(tokens: np.ndarray) -> np.ndarray:
+    return tokens < np.uint64(1 << 60)
+
+
+def members(docs: DataFrame, order, text_col: str = "text", size: int = SIZE) -> DataFrame:
+    """``docs`` without its text: ``vertex``, ``n_shingles``, ``_sketch``, how many shingles are of the usual class, and those of
+    the other classes that a prefix may reach, in order."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes = order.value.classes
+        for batch in (part for whole in batches for part in W.slices(whole, text_col)):
+            hashes, bounds = shingle_sets(batch.column(text_col), size)
+            n = np.diff(bounds)
+            tokens = _tokens(hashes, classes)
+            usual = _usual(tokens)
+            rare = np.concatenate([[0], np.cumsum(usual)])[bounds]
+            rare = rare[1:] - rare[:-1]
+            reached = np.maximum(n // 4 + MOST - rare, 0)
+            rest, cut = tokens[~usual], np.concatenate([[0], np.cumsum(~usual)])[bounds].tolist()
+            common = [np.sort(rest[a:b])[:k].tobytes() if k else b"" for a, b, k in zip(cut, cut[1:], reached.tolist())]
+            new = [pa.array(_vertices(hashes, bounds), mask=n == 0), pa.array(n), pa.array(_sketches(hashes, bounds), pa.binary())]
+            new += [pa.array(rare), pa.array(common, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept.names), *new], schema.names)
+
+    kept = T.StructType([f for f in docs.schema.fields if f.name != text_col])
+    types = dict(vertex=T.LongType(), n_shingles=T.LongType(), _sketch=T.BinaryType(), _rare=T.LongType(), _common=T.BinaryType())
+    schema = T.StructType([*kept.fields, *(T.StructField(k, v) for k, v in types.items())])
+    return map_arrow(docs, add, schema)
+
+
+# Rows of packed arrays, dealt out by ``bucket``: one per bucket and slice of documents, instead of one per token.
+_PACKED = "bucket int, kind int, vertices binary, sizes binary, tokens binary, counts binary, rare binary"
+
+
+def _packed(bucket: np.ndarray, buckets: int, kind: int, vertex: np.ndarray, *columns: np.ndarray) -> Iterator[tuple]:
+    """For each bucket its vertices, how many entries each has in a row, and the entries' columns."""
+    at = np.argsort(bucket, kind="stable")
+    cuts = np.searchsorted(bucket[at], np.arange(buckets + 1))
+    for k in np.flatnonzero(np.diff(cuts)).tolist():
+        own = at[cuts[k] : cuts[k + 1]]
+        v = vertex[own]
+        starts = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]]))
+        sizes = np.diff(np.append(starts, len(v)))
+        yield (k, kind, v[starts].tobytes(), sizes.astype(np.int32).tobytes(), *(c[own].tobytes() for c in columns))
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 5]
+    rows = [(*r, *[b""] * (7 - len(r))) for r in rows]
+    names = [f.split()[0] for f in _PACKED.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names)
+
 
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """The rows of one bucket after the other; they come sorted by bucket."""
+    at, rows = None, []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if row[0] != at and rows:
+                yield rows
+                rows = []
+            at = row[0]
+            rows.append(row)
+    if rows:
+        yield rows
 
-def _matches(n: np.ndarray, begins: np.ndarray, bounds: np.ndarray, partners: np.ndarray) -> np.ndarray:
-    """Each row's l: the cheapest by tokens to store, partners to count and candidates to compare."""
+
+def _unpack(rows: list[tuple], kind: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The vertex of every entry, and the columns of entries, of the rows of one kind."""
+    own = [r for r in rows if r[1] == kind]
+    join = lambda k, t: np.frombuffer(b"".join(r[k] for r in own), t)
+    return np.repeat(join(2, np.int64), join(3, np.int32)), [join(4, np.uint64), join(5, np.int32), join(6, np.int32)]
+
+
+def _spread(values: np.ndarray, buckets: int) -> np.ndarray:
+    """Buckets of 60-bit numbers by their upper bits."""
+    return (((values >> np.uint64(28)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+
+
+def _of_vertex(vertex: np.ndarray, buckets: int) -> np.ndarray:
+    return _spread(W.mix(vertex.view(np.uint64)) & np.uint64((1 << 60) - 1), buckets)
+
+
+def _dealt(packed: DataFrame, buckets: int) -> DataFrame:
+    return packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+
+
+def repeated(docs: DataFrame, order, buckets: int, size: int = SIZE) -> DataFrame:
+    """Packed tokens of the usual class that several sets hold, with their number, dealt by vertex."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes = order.value.classes
+        for batch in (part for whole in batches for part in W.slices(whole, "text", 2 * W.BLOCK)):
+            hashes, bounds = shingle_sets(batch.column(0), size)
+            vertex = np.repeat(_vertices(hashes, bounds), np.diff(bounds))
+            tokens = _tokens(hashes, classes)
+            usual = _usual(tokens)
+            tokens, vertex = tokens[usual], vertex[usual]
+            yield _batch(list(_packed(_spread(tokens, buckets), buckets, 1, vertex, tokens)))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _buckets(batches):
+            vertex, (tokens, _, _) = _unpack(rows, 1)
+            ordered = np.sort(tokens)
+            twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+            if not len(twice):
+                continue
+            at = np.minimum(np.searchsorted(twice, tokens), len(twice) - 1)
+            met = twice[at] == tokens
+            code, v = _distinct(at[met], vertex[met])
+            often = np.bincount(code, minlength=len(twice))
+            keep = often[code] > 1
+            code, v = code[keep], v[keep]
+            by_vertex = np.argsort(v, kind="stable")
+            code, v = code[by_vertex], v[by_vertex]
+            yield _batch(list(_packed(_of_vertex(v, buckets), buckets, 1, v, twice[code], often[code].astype(np.int32))))
+
+    packed = map_arrow(docs.select("text"), split, _PACKED)
+    return saved(map_arrow(_dealt(packed, buckets), count, _PACKED), "repeated")
+
+
+def _distinct(code: np.ndarray, vertex: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.lexsort((vertex, code))
+    code, vertex = code[order], vertex[order]
+    new = np.ones(len(code), bool)
+    new[1:] = (code[1:] != code[:-1]) | (vertex[1:] != vertex[:-1])
+    return code[new], vertex[new]
+
+
+def _matches(n: np.ndarray, single: np.ndarray, begins: np.ndarray, size: np.ndarray, partners: np.ndarray) -> np.ndarray:
+    """Each set's l: the cheapest by tokens to store, partners to count and candidates to compare.
+
+    ``single`` shingles that no other set has come first in the order, then ``size`` others with their ``partners``.
+    """
     cost = []
     for wanted in range(1, MOST + 1):
         length = n // 4 + wanted
         # a partner of like size looks at this much of the prefix
-        seen = partners[np.minimum(begins + n // 7 + wanted, bounds[1:])] - partners[begins]
-        cost.append(length + seen + (0.05 * n + 5) * seen / wanted)
+        looked = np.clip(n // 7 + wanted - single, 0, size)
+        seen = partners[begins + looked] - partners[begins]
+        cost.append(np.clip(length - single, 0, size) + seen + (0.05 * n + 5) * seen / wanted)
     return np.minimum(1 + np.argmin(cost, axis=0), np.maximum(n - n // 4, 1))
 
 
-def prefixes(docs: DataFrame, classes, text_col: str = "text", size: int = SIZE) -> DataFrame:
-    """(token, vertex, info): each document's prefix; info holds n, the token's place and l."""
+def prefixes(heads: DataFrame, counted: DataFrame, order, buckets: int) -> DataFrame:
+    """(token, vertex, info): each set's prefix without the shingles that it has alone; info holds n, the token's place and l."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            vertex = batch.column("vertex").to_numpy()
+            common = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("_common")]
+            # one entry for the set itself, with its number of shingles as the token, then its common ones
+            sizes = np.array([1 + len(c) for c in common], np.int64)
+            at = np.repeat(np.arange(len(vertex)), sizes)
+            first = np.cumsum(sizes) - sizes
+            tokens = np.empty(len(at), np.uint64)
+            inner = np.ones(len(at), bool)
+            inner[first] = False
+            tokens[first] = batch.column("n").to_numpy().astype(np.uint64)
+            tokens[inner] = np.concatenate([np.empty(0, np.uint64), *common])
+            rare = np.where(inner, -1, batch.column("_rare").to_numpy()[at]).astype(np.int32)
+            yield _batch(list(_packed(_of_vertex(vertex[at], buckets), buckets, 0, vertex[at], tokens, np.zeros(len(at), np.int32), rare)))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = classes.value
-        expected = np.where(np.arange(_CLASSES) == 0, 0.0, 4.0 * 2.0 ** np.arange(_CLASSES))
-        for batch in (part for whole in batches for part in W.slices(whole, "text")):
-            hashes, bounds = shingle_sets(batch.column(0), size)
-            vertex, n = _vertices(hashes, bounds), np.diff(bounds)
-            kind = table[(hashes >> np.uint64(64 - BITS)).astype(np.int64)].astype(np.uint64)
-            tokens = (kind << np.uint64(60)) | (hashes & np.uint64((1 << 60) - 1))
-            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-                tokens[a:b].sort()
-            partners = np.concatenate([[0], np.cumsum(expected[(tokens >> np.uint64(60)).astype(np.int64)])])
-            matches = _matches(n, bounds[:-1], bounds, partners)
-            length = np.minimum(n // 4 + matches, n)
-            row = np.repeat(np.arange(len(n)), length)
-            place = np.arange(len(row)) - np.repeat(np.cumsum(length) - length, length)
-            info = (n[row] << 32) | (place << 4) | (matches[row] - 1)
-            arrays = [pa.array(tokens[bounds[row] + place].view(np.int64)), pa.array(vertex[row]), pa.array(info)]
+        unit = order.value.unit
+        expected = np.where(np.arange(_CLASSES) == 0, 0.0, unit * 2.0 ** (np.arange(_CLASSES) - 1))
+        for rows in _buckets(batches):
+            vertex, (tokens, _, rare) = _unpack(rows, 0)
+            head = rare >= 0
+            known = vertex[head]
+            by = np.argsort(known)
+            known, n, usual = known[by], tokens[head][by].astype(np.int64), rare[head][by].astype(np.int64)
+            met, (shared, often, _) = _unpack(rows, 1)
+            owner = np.searchsorted(known, np.concatenate([met, vertex[~head]]))
+            token = np.concatenate([shared, tokens[~head]])
+            often = np.concatenate([often.astype(np.int64), np.zeros(np.count_nonzero(~head), np.int64)])
+            place = np.lexsort((token, often, token >> np.uint64(60), owner))
+            owner, token, often = owner[place], token[place], often[place]
+            size = np.bincount(owner, minlength=len(known))
+            begins = np.cumsum(size) - size
+            single = usual - np.bincount(owner[often > 0], minlength=len(known))
+            partners = np.where(often > 0, often - 1.0, expected[(token >> np.uint64(60)).astype(np.int64)])
+            partners = np.concatenate([[0.0], np.cumsum(partners)])
+            matches = _matches(n, single, begins, size, partners)
+            taken = np.clip(np.minimum(n // 4 + matches, n) - single, 0, size)
+            row = np.repeat(np.arange(len(known)), taken)
+            nth = np.arange(len(row)) - np.repeat(np.cumsum(taken) - taken, taken)
+            info = (n[row] << 32) | ((single[row] + nth) << 4) | (matches[row] - 1)
+            arrays = [pa.array(token[begins[row] + nth].view(np.int64)), pa.array(known[row]), pa.array(info)]
             yield pa.RecordBatch.from_arrays(arrays, ["token", "vertex", "info"])
 
-    return map_arrow(docs.select(F.col(text_col).alias("text")), cut, "token long, vertex long, info long")
+    packed = map_arrow(heads.select("vertex", "n", "_rare", "_common"), pack, _PACKED)
+    return map_arrow(_dealt(packed.union(counted), buckets), cut, "token long, vertex long, info long")
 
 
 # ---- candidates
@@ -246,16 +427,27 @@ def _open(entries: DataFrame) -> DataFrame:
 
 def linked_groups(docs: DataFrame, text_col: str = "text", size: int = SIZE, rounds: tuple[int, ...] = ROUNDS) -> DataFrame:
     """(vertex, group): the component of every vertex that is linked with another one of a smaller number."""
-    source = docs.select(F.col(text_col).alias("text"))
-    classes = docs.sparkSession.sparkContext.broadcast(frequency_classes(source, size=size))
-    tokens = prefixes(source, classes, size=size)
-    common = tokens.groupBy("token").agg(F.min("vertex").alias("_low"), F.max("vertex").alias("_high")).where("_low <> _high")
-    entries = saved(_unpacked(tokens.join(common, "token", "left_semi").distinct()), "entries")
-    entries = entries.withColumns({"group": F.col("vertex"), "weight": F.lit(1).cast("long")})
-    wanted = entries.select("vertex").distinct()
-    keyed = with_sets(source, size=size, sketch="sketch").where("vertex IS NOT NULL").groupBy("vertex")
-    keyed = keyed.agg(F.max("n_shingles").alias("n"), F.max("sketch").alias("sketch"), F.max("text").alias("text"))
-    sets = saved(keyed.join(wanted, "vertex", "left_semi"), "sets")
+    source, order = _source(docs.select(F.col(text_col).alias("text")), size)
+    return _groups(source, saved(members(source, order, size=size), "members"), order, size, rounds)
+
+
+def _source(docs: DataFrame, size: int):
+    """``docs`` with a key of its text, and the broadcast order of shingles."""
+    order = shingle_order(docs, size=size)
+    return docs.withColumn("_key", F.md5("text")), docs.sparkSession.sparkContext.broadcast(order)
+
+
+def _groups(source: DataFrame, known: DataFrame, order, size: int, rounds: tuple[int, ...]) -> DataFrame:
+    columns = {"n": "n_shingles", "sketch": "_sketch", "_rare": "_rare", "_common": "_common", "_key": "_key"}
+    heads = known.where("vertex IS NOT NULL").groupBy("vertex").agg(*[F.max(c).alias(name) for name, c in columns.items()])
+    heads = saved(heads, "heads")
+    buckets = order.value.buckets
+    entries = _unpacked(prefixes(heads, repeated(source, order, buckets, size), order, buckets))
+    entries = saved(entries.withColumns({"group": F.col("vertex"), "weight": F.lit(1).cast("long")}), "prefixes")
+    entries = saved(_open(entries), "entries")
+    heads = saved(heads.select("vertex", "n", "sketch", "_key").join(entries.select("vertex").distinct(), "vertex", "left_semi"), "wanted")
+    texts = source.select("_key", "text").join(heads.select("_key"), "_key", "left_semi").groupBy("_key").agg(F.max("text").alias("text"))
+    sets = saved(heads.join(texts, "_key").drop("_key"), "sets")
 
     groups = tried = None
     for number, hubs in enumerate(rounds):
@@ -335,11 +527,12 @@ def _relabelled(groups: DataFrame | None, moved: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE) -> DataFrame:
     """One row per document: identifier, n_shingles, component_id (smallest identifier reachable), vertex, group."""
     source = docs.select(F.col(id_col), F.col(text_col).alias("text"))
-    members = saved(with_sets(source, size=size).drop("text"), "members")
-    groups = linked_groups(source, size=size)
-    full = members.where("vertex IS NOT NULL").join(groups, "vertex", "left").withColumn("group", F.coalesce("group", "vertex"))
+    keyed, order = _source(source, size)
+    known = saved(members(keyed, order, size=size), "members")
+    groups = _groups(keyed, known, order, size, ROUNDS)
+    full = known.where("vertex IS NOT NULL").join(groups, "vertex", "left").withColumn("group", F.coalesce("group", "vertex"))
     least = full.groupBy("group").agg(F.min(id_col).alias("component_id"))
-    alone = members.where("vertex IS NULL").select(id_col, "n_shingles", F.col(id_col).alias("component_id"), "vertex", "vertex")
+    alone = known.where("vertex IS NULL").select(id_col, "n_shingles", F.col(id_col).alias("component_id"), "vertex", "vertex")
     return full.join(least, "group").select(id_col, "n_shingles", "component_id", "vertex", "group").union(alone)
 
 
