@@ -398,8 +398,8 @@ BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "session_bounds": _session_bounds,
     "effective_window": lambda i: i.orders.select(*tca.ORDER_KEYS, "EffectiveStartTime", "EffectiveEndTime"),
     "horizon_bounds": _horizon_bounds,
-    "asof_quotes": lambda i: tca.asof_quotes(i.orders, i.quotes),
-    "market_interval_vwap": lambda i: tca.market_interval_vwap(i.orders, i.trades),
+    "asof_quotes": lambda i: tca.asof_quotes(i.staged_orders, i.quotes),
+    "market_interval_vwap": lambda i: tca.market_interval_vwap(i.staged_orders, i.trades),
     "arrival_mid": _quote_measure(lambda df: df, "arrival_mid_price"),
     "slippage_vwap_bps": _slippage,
     "implementation_shortfall": _quote_measure(tca.with_shortfall, "implementation_shortfall_pl"),

@@ -9,6 +9,7 @@ from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks import schemas
+from tallyworks.functions import SessionHours
 from tallyworks.plans import balances, fraud, ledger, onboarding, scd2, tca
 from tallyworks.rules import BalanceRules, FraudRules, LedgerRules, MovementRules, RiskRules, SegmentRules, TcaRules
 from tallyworks.session import configure
@@ -251,6 +252,7 @@ def run_trading_costs(
     trades_path: str,
     out_path: str,
     rules: TcaRules = TcaRules(),
+    hours: SessionHours = SessionHours(),
     tie_break: Sequence[str] = (),
 ) -> int:
     """Write the cost report of a run date below ``out_path``; a rerun replaces that date."""
@@ -268,7 +270,8 @@ def run_trading_costs(
         schemas.require_columns(read_parquet(spark, trades_path), schemas.MARKET_TRADES, "trades"),
         run_date,
         rules,
-        tie_break=tie_break,
-        stage=stage,
+        hours,
+        tie_break,
+        stage,
     )
     return write_run(report, out_path, run_date)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from math import ceil
 from operator import and_
 
 from pyspark.sql import Column, DataFrame
@@ -17,19 +18,23 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class HotSplit:
-    """A key is hot if it holds more than ``share`` of all rows and more than ``floor`` rows.
+    """No task of a window gets many more rows than ``share`` of all of them, or ``floor`` rows where that is more.
 
-    Fewer than 1 / share keys can be hot, and each gets about ``slices`` cut points, which bounds
-    the broadcast cut table whatever the size of the data.
+    A key with more rows than that is hot and is cut into slices of about that many, so slices follow the data: their number
+    grows with a key's rows, and a key just below the bound is no larger than a slice. Fewer than 1 / share
+    keys can be hot, and they have fewer than 1 / share cut points together, which bounds the broadcast
+    cut table whatever the size of the data.
     """
 
-    share: float = 0.001
-    floor: int = 1_000_000
-    slices: int = 64
+    share: float = 1e-4
+    floor: int = 500_000
 
     def __post_init__(self) -> None:
-        if not 1e-4 <= self.share < 1:
-            raise ValueError("share must be at least 0.0001: it bounds the number of hot keys")
+        if not 1e-5 <= self.share < 1:
+            raise ValueError("share must be at least 0.00001: it bounds the number of hot keys and cut points")
+
+    def rows_per_slice(self, total: int) -> int:
+        return max(1, self.floor, ceil(total * self.share))
 
 
 def _same(keys: Sequence[str], prefix: str) -> Column:
@@ -46,17 +51,17 @@ def hot_key_cuts(
     """One row per hot key: ``_k_<key>`` columns and ``_cuts``, its sorted cut points.
 
     None if no key is hot, so that the caller can plan a plain window. Finding out is one count by
-    key, run at once: it reads the key columns only, and fewer than 1 / share rows come back.
-    Cut points are order tuples picked by hash, so a rerun picks the same ones.
+    key, run at once: it reads the key columns only, and one row comes back; only where a key is hot a second count brings
+    fewer than 1 / share rows. Cut points are order tuples picked by hash, so a rerun picks the same ones.
     """
     counts = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("_rows"))
-    total = counts.agg(F.sum("_rows")).scalar()
-    hot = counts.filter((F.col("_rows") > split.floor) & (F.col("_rows") > total * split.share))
-    found = hot.collect()
-    if not found:
+    seen = counts.agg(F.sum("_rows").alias("total"), F.max("_rows").alias("largest")).first()
+    bound = split.rows_per_slice(seen["total"] or 0)
+    if (seen["largest"] or 0) <= bound:
         return None
-    hot = df.sparkSession.createDataFrame(found, hot.schema)
-    every = F.ceil(F.col("_rows") / split.slices)
+    found = counts.filter(F.col("_rows") > bound).collect()
+    hot = df.sparkSession.createDataFrame(found, counts.schema)
+    every = F.lit(bound)
     picked = df.select(*keys, _order_tuple(order_by).alias("_order")).join(
         F.broadcast(hot), _same(keys, "_k_"), "inner"
     ).filter(F.pmod(F.xxhash64("_order"), every) == 0)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -186,10 +188,11 @@ def asof_quotes(
         payload=("best_bid", "best_ask"),
         tie_break=tie_break,
         lookback_seconds=rules.quote_lookback_minutes * 60,
+        bin_seconds=rules.bin_seconds,
     )
 
 
-def market_interval_vwap(orders: DataFrame, trades: DataFrame) -> DataFrame:
+def market_interval_vwap(orders: DataFrame, trades: DataFrame, rules: TcaRules = TcaRules()) -> DataFrame:
     """Market volume and VWAP over the effective window of each order."""
     return interval_vwap(
         orders,
@@ -203,6 +206,7 @@ def market_interval_vwap(orders: DataFrame, trades: DataFrame) -> DataFrame:
         size="trade_size",
         volume_out="market_interval_volume",
         vwap_out="market_interval_vwap",
+        bin_seconds=rules.bin_seconds,
     ).filter(F.col("market_interval_volume").isNotNull())
 
 
@@ -233,11 +237,11 @@ def with_shortfall(df: DataFrame) -> DataFrame:
     return df.withColumn("implementation_shortfall_pl", _by_side(gain * shares, loss * shares))
 
 
-def with_momentum(df: DataFrame) -> DataFrame:
-    """Move of the mid price in the minute after the order, times the executed shares."""
-    shares = F.col("fill_TotalSharesExecuted")
-    up, down = _mid("end_plus1") - _mid("end"), _mid("end") - _mid("end_plus1")
-    return df.withColumn("post_trade_1m_momentum", _by_side(up * shares, down * shares))
+def with_momentum(df: DataFrame, minutes: int = 1) -> DataFrame:
+    """Move of the mid price in the minutes after the order, times the executed shares."""
+    shares, later = F.col("fill_TotalSharesExecuted"), _mid(f"end_plus{minutes}")
+    up, down = later - _mid("end"), _mid("end") - later
+    return df.withColumn(f"post_trade_{minutes}m_momentum", _by_side(up * shares, down * shares))
 
 
 def with_opportunity_cost(df: DataFrame) -> DataFrame:
@@ -247,19 +251,37 @@ def with_opportunity_cost(df: DataFrame) -> DataFrame:
     return df.withColumn("opportunity_cost_pl", _by_side(missed * (paid - closing), missed * (closing - paid)))
 
 
-def _within_reach(orders: DataFrame, quotes: DataFrame, trades: DataFrame, rules: TcaRules):
-    """Quotes and trades of the time the orders span, as literal bounds that skip files and row groups."""
+def _spans(orders: DataFrame, rules: TcaRules) -> list[tuple[int, int]]:
+    """The stretches of time, in microseconds, in which the orders can see ticks: one row per day comes back."""
     start, end = F.col("EffectiveStartTime"), F.col("EffectiveEndTime")
     back = F.expr(f"INTERVAL {rules.quote_lookback_minutes} MINUTES")
-    oldest, newest = orders.agg(
-        F.unix_micros(F.min(F.least(start, end)) - back),
-        F.unix_micros(F.max(F.greatest(start, end)) + F.expr("INTERVAL 1 MINUTES")),
-    ).first()
-    if oldest is None:
+    ahead = F.expr(f"INTERVAL {max(rules.momentum_minutes, default=0)} MINUTES")
+    low, high = F.least(start, end) - back, F.greatest(start, end) + ahead
+    days = orders.groupBy(F.to_date(low)).agg(F.unix_micros(F.min(low)), F.unix_micros(F.max(high))).collect()
+    spans: list[tuple[int, int]] = []
+    for low, high in sorted((r[1], r[2]) for r in days if r[1] is not None):
+        if spans and low <= spans[-1][1]:
+            spans[-1] = (spans[-1][0], max(spans[-1][1], high))
+        else:
+            spans.append((low, high))
+    while len(spans) > rules.most_spans:  # the nearest two become one
+        k = min(range(1, len(spans)), key=lambda k: spans[k][0] - spans[k - 1][1])
+        spans[k - 1 : k + 1] = [(spans[k - 1][0], spans[k][1])]
+    return spans
+
+
+def _within_reach(orders: DataFrame, quotes: DataFrame, trades: DataFrame, rules: TcaRules):
+    """Quotes and trades of the times that orders can see, as literal bounds that skip files and row groups.
+
+    One order from years ago opens its own day, not the years between.
+    """
+    spans = _spans(orders, rules)
+    if not spans:
         return quotes, trades
 
     def inside(ticks: DataFrame, ts: str) -> DataFrame:
-        return ticks.filter(F.col(ts).between(F.timestamp_micros(F.lit(oldest)), F.timestamp_micros(F.lit(newest))))
+        at = F.col(ts)
+        return ticks.filter(reduce(or_, [at.between(F.timestamp_micros(F.lit(a)), F.timestamp_micros(F.lit(b))) for a, b in spans]))
 
     return inside(quotes, "quote_timestamp"), inside(trades, "trade_timestamp")
 
@@ -285,11 +307,11 @@ def tca_report(
     if stage is not None:
         orders = stage(orders)
         quotes, trades = _within_reach(orders, quotes, trades, rules)
-    report = orders.join(market_interval_vwap(orders, trades), list(ORDER_KEYS), "left").join(
-        asof_quotes(orders, quotes, rules).drop("end_quote_timestamp", "end_plus1_quote_timestamp"),
-        list(ORDER_KEYS),
-        "left",
-    )
-    for measure in (with_arrival_mid, with_vwap_slippage, with_shortfall, with_momentum, with_opportunity_cost):
+    later = [f"end_plus{m}" for m in rules.momentum_minutes]
+    quoted = asof_quotes(orders, quotes, rules, rules.momentum_minutes).drop(*[f"{p}_quote_timestamp" for p in ("end", *later)])
+    report = orders.join(market_interval_vwap(orders, trades, rules), list(ORDER_KEYS), "left").join(quoted, list(ORDER_KEYS), "left")
+    for measure in (with_arrival_mid, with_vwap_slippage, with_shortfall):
         report = measure(report)
-    return report
+    for minutes in rules.momentum_minutes:
+        report = with_momentum(report, minutes)
+    return with_opportunity_cost(report)

@@ -76,3 +76,9 @@ class TcaRules:
     boundary_fill: str = "first"
     # Settles quotes of one instant; quotes without this column are settled by bid, then ask.
     quote_tie_break: str = "quote_id"
+    # Minutes after the end of an order at which its momentum is taken, one measure each.
+    momentum_minutes: tuple[int, ...] = (1,)
+    # Width of the time bins in which ticks and orders meet. A busier market takes a smaller one.
+    bin_seconds: int = 60
+    # Stretches of time that the ticks are read from, at most; nearer ones are read as one.
+    most_spans: int = 64

@@ -58,7 +58,7 @@ def test_rolling_window_spans_eleven_rows(spark):
     assert df.orderBy(F.col("trx_uuid").desc()).first()["rolling_10_trx_amount"] == 11
 
 
-@pytest.mark.parametrize("split", [HotSplit(), HotSplit(share=0.0001, floor=0, slices=4)])
+@pytest.mark.parametrize("split", [HotSplit(), HotSplit(share=0.2, floor=0)])
 def test_enrich(spark, dims, split):
     rows = [trx(f"{i:02}", when=f"2024-01-02 10:00:{i:02}") for i in range(30)]
     rows += [

@@ -21,7 +21,7 @@ from tallyworks.operators import (
 )
 
 START = dt.datetime(2024, 1, 2, 14, 0, 0)
-ALWAYS_HOT = HotSplit(share=0.05, floor=10, slices=7)
+ALWAYS_HOT = HotSplit(share=0.05, floor=10)
 
 
 def at(seconds: float) -> dt.datetime:

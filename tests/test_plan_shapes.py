@@ -46,7 +46,7 @@ def test_ledger_shuffles_the_facts_once(landed):
 
 def test_sliced_ledger_shuffles_the_facts_once(landed):
     raw, i = landed
-    split = HotSplit(share=0.0001, floor=5, slices=4)
+    split = HotSplit(share=0.0001, floor=5)
     result = ledger.enrich_ledger(raw, i.accounts, i.ledger_customers, DAY, split=split)
     keys = shuffles(plan_of(result))
     # The union of facts and halo, the owners, and the halo's own tails.
@@ -138,3 +138,50 @@ def test_no_pairs_and_no_python(spark, small, name):
     for node in ("CartesianProduct", "NestedLoop", "EvalPython", "InPandas"):
         assert node not in plan
     assert "SinglePartition" not in plan
+
+
+def _trading_day(spark, folder, day):
+    """A quote and a trade per second of several days of one ticker, one file a day."""
+    rows = spark.range(0, 100_000, 1, 10)
+    first = F.unix_seconds(F.lit(f"{day - dt.timedelta(days=3)} 15:00:00").cast("timestamp"))
+    moment = F.timestamp_seconds(first + F.expr("id div 10000 * 86400 + id % 10000"))
+    quotes = rows.select(F.col("id").alias("quote_id"), F.lit("T").alias("ticker"), moment.alias("quote_timestamp"), F.lit(1.0).alias("best_bid"), F.lit(1.5).alias("best_ask"))
+    trades = rows.select(F.lit("T").alias("ticker"), moment.alias("trade_timestamp"), F.lit(2.0).alias("trade_price"), F.lit(1).alias("trade_size"))
+    quotes.write.mode("append").parquet(f"{folder}/quotes")
+    trades.write.mode("append").parquet(f"{folder}/trades")
+
+
+def test_an_order_from_years_ago_opens_its_own_day(spark, tmp_path):
+    from tallyworks.plans import tca
+
+    now, long_ago = dt.date(2024, 1, 4), dt.date(2019, 3, 5)
+    for day in (now, long_ago, dt.date(2021, 6, 1)):
+        _trading_day(spark, tmp_path, day)
+    rows = [(k, "c", "T", dt.datetime.combine(day, dt.time(15, 10)), dt.datetime.combine(day, dt.time(15, 30))) for k, day in enumerate([now, now, long_ago])]
+    orders = spark.createDataFrame(rows, "order_id int, client_id string, ticker string, EffectiveStartTime timestamp, EffectiveEndTime timestamp")
+    quotes, trades = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("quotes", "trades"))
+    assert len(tca._spans(orders, tca.TcaRules())) == 2 and len(tca._spans(orders, tca.TcaRules(most_spans=1))) == 1
+    seen, _ = tca._within_reach(orders, quotes, trades, tca.TcaRules())
+    found = seen.select("quote_id", "quote_timestamp").filter("quote_id >= 0")
+    assert found.count() == 2 * (20 * 60 + 10 * 60 + 60 + 1)
+    found.write.format("noop").mode("overwrite").save()
+    plan = seen.select("quote_id")
+    plan.collect()
+    scans = [n for n in _nodes(spark, plan._jdf.queryExecution().executedPlan()) if n.nodeName().startswith("Scan parquet")]
+    assert [n.metrics().apply("numOutputRows").value() for n in scans] == [20_000]  # a file of each of two days
+
+
+def test_raw_quotes_are_shuffled_once(spark, tmp_path):
+    from tallyworks.plans import tca
+
+    _trading_day(spark, tmp_path, DAY)
+    at = dt.datetime.combine(DAY, dt.time(15, 10))
+    rows = [(k, "c", "T", at + dt.timedelta(seconds=7 * k), at + dt.timedelta(minutes=9, seconds=k)) for k in range(50)]
+    rows += [(99, "c", "T", dt.datetime.combine(DAY, dt.time(17, 50)), dt.datetime.combine(DAY, dt.time(23, 0)))]  # after the last quote
+    spark.createDataFrame(rows, "order_id int, client_id string, ticker string, EffectiveStartTime timestamp, EffectiveEndTime timestamp").write.parquet(f"{tmp_path}/orders")
+    found = tca.asof_quotes(spark.read.parquet(f"{tmp_path}/orders"), spark.read.parquet(f"{tmp_path}/quotes"))
+    got = {r.order_id: r for r in found.collect()}
+    assert len(got) == 51 and got[0].start_quote_timestamp == at
+    assert got[99].start_quote_timestamp == dt.datetime.combine(DAY, dt.time(17, 46, 39)) and got[99].end_quote_timestamp is None
+    nodes = _nodes(spark, found._jdf.queryExecution().executedPlan())
+    assert sum("quote_timestamp" in n.toString() for n in nodes if n.nodeName().startswith("Scan parquet")) == 1
