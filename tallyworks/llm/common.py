@@ -41,15 +41,28 @@ def _shuffles_released(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+_removed_at_end: set[str] = set()
+
+
+def _removed(spark: SparkSession, folder: str) -> None:
+    """The application's intermediate tables go when the driver ends, if nobody has cleared them before."""
+    if folder not in _removed_at_end:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+        _removed_at_end.add(folder)
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """The rows as a written table: cuts the lineage, survives lost executors, is computed once.
 
     Once the table is complete nothing reads the shuffles that led to it, so their files go with the write
     instead of waiting for the driver's garbage collection.
     """
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
+    folder = shared_folder(df.sparkSession)
+    path = f"{folder}/{name}-{uuid.uuid4().hex[:12]}"
     with _shuffles_released(df.sparkSession):
         df.write.parquet(path)
+    _removed(df.sparkSession, folder)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
