@@ -25,6 +25,7 @@ from tallyworks.plans import balances, fraud, ledger, onboarding, scd2, tca
 from tallyworks.rules import RiskRules
 from tallyworks.session import configure, scratch_dir
 from tallyworks.sinks import (
+    Buckets,
     Expect,
     append_rows,
     ensure_table,
@@ -304,6 +305,15 @@ def _scd2_backdated(i: Inputs) -> DataFrame:
     return scd2.scd2_backdated(known, scd2.updates_by_day(i.scd_updates, tie_break=SEQ))
 
 
+def _scd2_changes_bucketed(i: Inputs) -> DataFrame:
+    """The comparison against a history that lies in files by customer."""
+    location = scratch_dir(i.spark, "history")
+    table = f"history_{location.rsplit('-', 1)[1]}"
+    replace_table(i.scd_dim, table, [], "parquet", location, Buckets("customer_id", 8))
+    updates = scd2.updates_of_day(i.scd_updates, SCD_DAY, tie_break=SEQ)
+    return scd2.scd2_changes(read_table(i.spark, table), updates)
+
+
 def _profile_incremental(i: Inputs) -> DataFrame:
     moments = stage(fraud.daily_moments(i.cc_transactions), "moments")
     return fraud.profile_from_moments(moments, FRAUD_DAY)
@@ -378,6 +388,7 @@ BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "scd2_append_log": lambda i: scd2.scd2_append(i.scd_dim, i.changes, SCD_DAY),
     "scd2_snapshot": lambda i: scd2.scd2_apply(i.scd_dim, i.changes, SCD_DAY),
     "scd2_backdated": _scd2_backdated,
+    "scd2_changes_bucketed": _scd2_changes_bucketed,
     # card fraud
     "geo_distance": _geo_distance,
     "account_profile_90d": lambda i: fraud.account_profile(i.cc_transactions, FRAUD_DAY),

@@ -14,6 +14,7 @@ from tallyworks.plans import balances, fraud, ledger, onboarding, scd2, tca
 from tallyworks.rules import BalanceRules, FraudRules, LedgerRules, MovementRules, RiskRules, SegmentRules, TcaRules
 from tallyworks.session import configure
 from tallyworks.sinks import (
+    Buckets,
     Expect,
     append_rows,
     ensure_table,
@@ -149,6 +150,7 @@ def run_customer_history(
     target: str | None = None,
     log: bool = False,
     tie_break: Sequence[str] = (),
+    buckets: int | None = None,
 ) -> int:
     """Bring the day's customer updates into the history.
 
@@ -156,11 +158,15 @@ def run_customer_history(
     ``history`` once it is complete in a staged table. With ``log`` the new and the retired rows are appended
     to ``history`` instead, where the rows they supersede remain active; of those only the newest takes part
     in the comparison. A day that is run again changes nothing.
+
+    With ``buckets`` the history is kept in so many files by customer, and only the updates are shuffled when both meet; the
+    number is fixed by the first run that creates the table.
     """
     configure(spark)
     if target is not None and (log or target == history):
         raise ValueError("a target takes a full version and is another table than the history")
-    ensure_table(spark, history, schemas.CUSTOMER_SCD2)
+    dealt = Buckets("customer_id", buckets) if buckets else None
+    ensure_table(spark, history, schemas.CUSTOMER_SCD2, buckets=dealt)
     dim = read_table(spark, history, schemas.CUSTOMER_SCD2)
     day = scd2.updates_of_day(read_table(spark, updates), run_date, "timestamp", tie_break)
     if log:
@@ -168,8 +174,8 @@ def run_customer_history(
         return append_rows(scd2.scd2_day_rows(changes, run_date), history)
     version = scd2.scd2_apply(dim, scd2.scd2_changes(dim, day), run_date)
     if target is None:
-        return overwrite_table_partitions(stage(version, "history"), history, [])
-    return replace_table(version, target, [])
+        return overwrite_table_partitions(stage(version, "history"), history, [], dealt)
+    return replace_table(version, target, [], buckets=dealt)
 
 
 def run_customer_backfill(

@@ -2,6 +2,7 @@
 
 from tallyworks.sinks.checks import CheckFailed, Expect, repeated_keys, write_checked
 from tallyworks.sinks.tables import (
+    Buckets,
     append_rows,
     ensure_table,
     overwrite_table_partitions,
@@ -13,6 +14,7 @@ from tallyworks.sinks.tables import (
 )
 
 __all__ = [
+    "Buckets",
     "CheckFailed",
     "Expect",
     "append_rows",

@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,26 @@ from pyspark.sql.types import StructType
 from tallyworks.session import scratch_dir
 
 
-def _rebalanced(df: DataFrame, parts: Sequence[str]) -> DataFrame:
+@dataclass(frozen=True)
+class Buckets:
+    """A table is kept in ``number`` files by the hash of ``column``, each sorted by it.
+
+    Joins and aggregations by that column then read it as it lies: only the other side is shuffled. ``number`` should give files
+    of some hundred MB when the table has grown, and be at least ``spark.sql.shuffle.partitions``: below that Spark prefers a
+    shuffle with more tasks.
+    """
+
+    column: str
+    number: int
+
+    def dealt(self, df: DataFrame) -> DataFrame:
+        """Rows as the buckets want them: one task, and so one file, per bucket."""
+        return df.repartition(self.number, self.column).sortWithinPartitions(self.column)
+
+
+def _rebalanced(df: DataFrame, parts: Sequence[str], buckets: Buckets | None = None) -> DataFrame:
+    if buckets is not None:
+        return buckets.dealt(df)
     return df.hint("rebalance", *parts) if parts else df
 
 
@@ -54,6 +74,7 @@ def ensure_table(
     parts: Sequence[str] = (),
     fmt: str = "orc",
     location: str | None = None,
+    buckets: Buckets | None = None,
 ) -> None:
     """Create the database and the table if they do not exist; partition columns come last."""
     if "." in name:
@@ -62,7 +83,8 @@ def ensure_table(
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*plain, *[schema[p] for p in parts]])
     partitioned = f"PARTITIONED BY ({', '.join(parts)})" if parts else ""
     place = f"LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {fmt} {partitioned} {place}")
+    dealt = f"CLUSTERED BY (`{buckets.column}`) SORTED BY (`{buckets.column}`) INTO {buckets.number} BUCKETS" if buckets else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {fmt} {partitioned} {dealt} {place}")
 
 
 @contextmanager
@@ -77,17 +99,17 @@ def _overwrite_mode(spark: SparkSession, mode: str) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
-def _insert(df: DataFrame, table: str, mode: str, parts: Sequence[str]) -> int:
+def _insert(df: DataFrame, table: str, mode: str, parts: Sequence[str], buckets: Buckets | None = None) -> int:
     columns = df.sparkSession.table(table).columns
-    counted, observation = _counted(_rebalanced(df.select(*columns), parts))
+    counted, observation = _counted(_rebalanced(df.select(*columns), parts, buckets))
     with _overwrite_mode(df.sparkSession, "dynamic"):
         counted.write.mode(mode).insertInto(table)
     return observation.get["rows"]
 
 
-def overwrite_table_partitions(df: DataFrame, table: str, parts: Sequence[str]) -> int:
-    """Replace exactly the partitions of a catalog table that are present in ``df``."""
-    return _insert(df, table, "overwrite", parts)
+def overwrite_table_partitions(df: DataFrame, table: str, parts: Sequence[str], buckets: Buckets | None = None) -> int:
+    """Replace exactly the partitions of a catalog table that are present in ``df``; all of one without partitions."""
+    return _insert(df, table, "overwrite", parts, buckets)
 
 
 def replace_day(df: DataFrame, table: str, parts: Sequence[str], day: dt.date) -> int:
@@ -112,13 +134,20 @@ def append_rows(df: DataFrame, table: str, parts: Sequence[str] = ()) -> int:
 
 
 def replace_table(
-    df: DataFrame, table: str, parts: Sequence[str], fmt: str = "orc", location: str | None = None
+    df: DataFrame,
+    table: str,
+    parts: Sequence[str],
+    fmt: str = "orc",
+    location: str | None = None,
+    buckets: Buckets | None = None,
 ) -> int:
     """Rebuild a whole table; partitions that are not in ``df`` are gone afterwards."""
-    counted, observation = _counted(_rebalanced(df, parts))
+    counted, observation = _counted(_rebalanced(df, parts, buckets))
     writer = counted.write.format(fmt).mode("overwrite")
     if parts:
         writer = writer.partitionBy(*parts)
+    if buckets is not None:
+        writer = writer.bucketBy(buckets.number, buckets.column).sortBy(buckets.column)
     if location:
         writer = writer.option("path", location)
     with _overwrite_mode(df.sparkSession, "static"):

@@ -182,6 +182,34 @@ def test_backdating_shuffles_the_history_once(spark, tmp_path, history):
     assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan  # updates by customer and day, then everything
 
 
+def test_a_bucketed_history_is_not_shuffled(spark, tmp_path, history):
+    from tallyworks.sinks import Buckets, overwrite_table_partitions, replace_table
+
+    place = str(tmp_path / "history")
+    name = "history_in_buckets"
+    buckets = Buckets("customer_id", 4)
+    replace_table(history, name, [], "parquet", place, buckets)
+    try:
+        updates = spark.createDataFrame(UPDATES, UPDATE).filter("customer_id IS NOT NULL").dropDuplicates(["customer_id"])
+        changes = scd2.scd2_changes(spark.table(name), updates)
+        rows = sorted(map(str, changes.collect()))
+        assert rows == sorted(map(str, scd2.scd2_changes(history, updates).collect()))
+        lines_ = plan_of(scd2.scd2_changes(spark.table(name), updates)).splitlines()
+        scan = next(k for k, line in enumerate(lines_) if "FileScan parquet" in line)
+        depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+        above, level = [], depth(lines_[scan])
+        for line in reversed(lines_[:scan]):
+            if depth(line) < level:
+                above.append(line)
+                level = depth(line)
+        assert any("Join" in x for x in above) and not any("Exchange" in x for x in above)
+        overwrite_table_partitions(history.filter("is_active"), name, [], buckets)
+        assert spark.table(name).count() == 3
+        assert len(list((tmp_path / "history").glob("part-*.parquet"))) <= 4
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
 # ---- restated balances
 
 
