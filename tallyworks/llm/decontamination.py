@@ -4,12 +4,13 @@ Words are runs of digits, letters and non-ASCII characters after lower-casing A-
 consecutive words of an item; an item of fewer words, but not none, is one window. A document word inside
 any occurrence of a window is hit. Window hashes only nominate; every nominee is compared word by word.
 
-The window table is broadcast in blocks of ``block`` windows at most on average, and documents pass
-the blocks one after the other within one stage. Every task holds all blocks, one in each Python worker, and the driver
-keeps all broadcasts, so memory grows with the benchmark.
+The window table is broadcast in blocks of ``block`` windows on average, and documents pass
+``TOGETHER`` blocks one after the other within one stage; then findings are written and the blocks released, so memory is bounded for a
+benchmark of any size.
 
 Defined cases: null texts have no words and are never contaminated; an empty benchmark hits nothing; repeated
-rows are judged each by itself; a null item id marks words but is not listed; extra columns are kept.
+rows are judged each by itself; a null item id marks words but is not listed; extra columns are kept, and a
+``found_col`` that is taken raises an error.
 """
 
 from __future__ import annotations
@@ -24,11 +25,13 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tallyworks.llm import words as W
-from tallyworks.llm.common import free_name, map_arrow, saved
+from tallyworks.llm.common import free_name, map_arrow, saved, untaken
 
 WIDTH = 13
 #: Windows in one broadcast block, about 150 bytes each.
 BLOCK = 100_000
+#: Blocks that a stage holds.
+TOGETHER = 4
 
 _SPAN = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
 _FOUND = T.StructType(
@@ -46,7 +49,7 @@ def benchmark_windows(items: DataFrame, id_col: str = "item_id", text_col: str =
     """(item, width, hash, words): every window of every item once."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in W.slices(whole, "text")):
             w = W.words(*W.flat(batch.column(1)), W.ALNUM)
             names = batch.column(0).to_pylist()
             starts = np.searchsorted(w.row, np.arange(len(names) + 1))
@@ -111,14 +114,25 @@ def contamination(
     found_col: str = "contamination",
 ) -> DataFrame:
     """``docs`` with a struct: n_words, n_hit, items (sorted strings), hit_words (first and past-the-last
-    word of each run, flat), spans (the same runs of text in code points). ``found_col`` must be new."""
+    word of each run, flat), spans (the same runs of text in code points).
+
+    Windows go to the tasks in blocks of ``block``. After ``TOGETHER`` blocks what is found so far is written with the documents and their
+    broadcasts are released, so tasks hold so many blocks at once, however large the benchmark is.
+    """
+    untaken(docs, found_col)
     spark = docs.sparkSession
     windows = saved(benchmark_windows(items, item_col, item_text_col, width), "benchmark-windows")
     parts = max(1, -(-windows.count() // block))
-    out, prior = docs, None
+    out, prior, held = docs, None, []
     for k in range(parts):
+        if len(held) == TOGETHER:
+            out = saved(out, "found")
+            for earlier in held:
+                earlier.unpersist()
+            held = []
         rows = windows.where(F.pmod(F.xxhash64("hash"), F.lit(parts)) == k).collect()
         shared = spark.sparkContext.broadcast(_Block(rows))
+        held.append(shared)
         new = free_name(out, f"_found{k}")
         schema = T.StructType([*out.schema.fields, T.StructField(new, _FOUND)])
         out = map_arrow(out, _scanner(shared, text_col, prior, new), schema)

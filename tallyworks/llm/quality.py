@@ -11,7 +11,7 @@ The classifier is trained on a bounded sample (``sample``) of labelled documents
 
 Defined cases: null and empty texts are judged by their place alone; null sites and paths are places
 of their own; documents with conflicting labels count as bad; without labels of one kind the score is
-the global mean; repeated rows are judged each by itself; extra columns are kept.
+the global mean; repeated rows are judged each by itself; extra columns are not read, and the result has its own five only.
 """
 
 from __future__ import annotations

@@ -23,7 +23,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyworks.llm.common import ascii_lower, saved
+from tallyworks.llm.common import ascii_lower, free_name, saved, untaken
 
 
 class Rule(NamedTuple):
@@ -45,6 +45,7 @@ SHRINK = 4.0
 FOLDS = 5
 ORDER = 3
 _SCALE = 1_000_000
+RESULT = ("host", "path", "rule", "verdict", "score")
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -123,6 +124,7 @@ def judge(
     false_block: float = FALSE_BLOCK,
 ) -> DataFrame:
     """``pages`` with host, path, rule, verdict and score (nats for each character; null without a URL)."""
+    untaken(pages, *RESULT)
     host, path = host_and_path(F.col("url"))
     one = pages.select(F.col(url).alias("url")).where("url IS NOT NULL").groupBy("url").agg(F.count(F.lit(1)).alias("rows"))
     one = one.select("url", host.alias("host"), path.alias("path"))
@@ -133,19 +135,17 @@ def judge(
     model = saved(fit(one.select("url", F.when(F.col("fold") > 0, F.col("rejected")).alias("rejected"))), "url-model")
     scored = saved(scores(one, model), "url-scores")
     least = threshold(scored.where("fold = 0"), false_block)
+    key, result = free_name(pages, "_url"), free_name(pages, "_found")
     found = scored.select(
-        F.col("url").alias("_url"),
+        F.col("url").alias(key),
         F.struct(
             "host",
             "path",
             F.col("rule.name").alias("rule"),
             F.coalesce("rule.verdict", F.when(F.col("score") > least, "block").otherwise("allow")).alias("verdict"),
             (F.col("score") / _SCALE).alias("score"),
-        ).alias("_found"),
+        ).alias(result),
     )
-    joined = pages.join(found, F.col(url) == F.col("_url"), "left")
+    joined = pages.join(found, pages[url] == found[key], "left")
     empty = {"host": "", "path": "", "verdict": "allow"}
-    return joined.select(
-        *(pages[c] for c in pages.columns),
-        *(F.coalesce(F.col(f"_found.{c}"), F.lit(empty.get(c))).alias(c) for c in ("host", "path", "rule", "verdict", "score")),
-    )
+    return joined.select(*(pages[c] for c in pages.columns), *(F.coalesce(found[result][c], F.lit(empty.get(c))).alias(c) for c in RESULT))
