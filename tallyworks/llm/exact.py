@@ -1,7 +1,9 @@
 """Exact deduplication by a tree of merges over sorted digest runs, in DataFrame operations only.
 
-Each input partition is a run of (digest, length, second hash, largest identifier, rows). In every round,
-``fan`` neighbouring runs exchange their entries by digest and merge: a group has ``fan`` entries at most,
+Each input partition is a run of (digest, length, second hash, largest identifier, rows), merged within itself first. In every round
+``fan`` neighbouring runs become one: their entries are dealt out by ranges of digests within the new run and sorted, so equal
+digests lie next to each other and one ordered pass merges them; the new run is again sorted, in as many pieces as there are
+ranges, and no task ever has a whole one. A digest has ``fan`` entries at most in a round,
 so a text that a third of all rows share costs no more than any other. Rounds go on until one
 run is left. Entries only merge when the SHA-256 digest, the length and a second hash all agree.
 
@@ -22,7 +24,7 @@ KEY = ["_digest", "_size", "_check"]
 
 
 def digest_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One entry per row: its run, a row number, identifier and verified digest, sorted within the run."""
+    """One entry per row: its run, a row number, identifier and verified digest."""
     texts = docs.select(
         F.spark_partition_id().cast("long").alias("_run"),
         F.monotonically_increasing_id().alias("_row"),
@@ -36,20 +38,20 @@ def digest_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.unhex(F.sha2(F.col("_text").cast("binary"), 256)).alias("_digest"),
         F.octet_length("_text").alias("_size"),
         F.xxhash64("_text").alias("_check"),
-    ).sortWithinPartitions("_digest")
+    )
 
 
 def merge_runs(entries: DataFrame, fan: int = FAN) -> DataFrame:
     """The kept (identifier, row) and the number of rows of every distinct text."""
     last = entries.agg(F.max("_run")).first()[0] or 0
-    merged = entries.select("_run", *KEY, F.struct("_id", "_row").alias("_keep"), F.lit(1).cast("long").alias("_rows"))
-    while True:
+    own = [F.max(F.struct("_id", "_row")).alias("_keep"), F.count(F.lit(1)).alias("_rows")]
+    merged = entries.groupBy("_run", *KEY).agg(*own)  # partial sums within each run
+    while last:
         last //= fan
-        merged = merged.groupBy(F.expr(f"_run div {fan}").alias("_run"), *KEY).agg(
-            F.max("_keep").alias("_keep"), F.sum("_rows").alias("_rows")
-        )
-        if not last:
-            return merged.drop("_run")
+        joined = merged.withColumn("_run", F.expr(f"_run div {fan}"))
+        sorted_run = joined.repartitionByRange("_run", *KEY).sortWithinPartitions("_run", *KEY)
+        merged = sorted_run.groupBy("_run", *KEY).agg(F.max("_keep").alias("_keep"), F.sum("_rows").alias("_rows"))
+    return merged.drop("_run")
 
 
 def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fan: int = FAN) -> DataFrame:
