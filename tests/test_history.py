@@ -368,6 +368,24 @@ def test_sketches_merge_over_days(spark):
     assert ledger.distinct_destinations(sketches, dt.date(2020, 1, 1), dt.date(2020, 1, 2)).count() == 0
 
 
+def test_sketches_of_few_destinations_are_exact(spark):
+    """The two destinations of each account have the same 26-bit place of an HLL sketch."""
+    pairs = [(1875, 40602), (6107, 49625), (545, 36580), (15471, 41876), (9552, 12647)]
+    rows = [(str(k), DAY + dt.timedelta(days=j), there) for k, pair in enumerate(pairs) for j in (0, 1) for there in pair]
+    sketches = ledger.destination_sketches(spark.createDataFrame(rows, "customer_id string, trx_date date, destination_account_id long"))
+    found = ledger.distinct_destinations(sketches, DAY, DAY + dt.timedelta(days=1)).collect()
+    assert [r.distinct_destinations for r in found] == [2] * 5
+
+
+def test_sketches_of_many_destinations_are_exact(spark):
+    """More destinations than a sketch of the default size of Spark's functions holds, so the union must not cut them."""
+    rows = spark.range(100_000).select(
+        F.lit("a").alias("customer_id"), F.date_add(F.lit(DAY), (F.col("id") % 5).cast("int")).alias("trx_date"), (F.col("id") % 90_000).alias("destination_account_id")
+    )
+    found = ledger.distinct_destinations(ledger.destination_sketches(rows), DAY, DAY + dt.timedelta(days=4)).first()
+    assert found.distinct_destinations == 90_000
+
+
 # ---- checked writes
 
 
