@@ -59,8 +59,8 @@ def as_checkable(df: DataFrame) -> DataFrame:
         if isinstance(field.dataType, (DecimalType, DoubleType)):
             digits = 4 if isinstance(field.dataType, DecimalType) else DIGITS.get(field.name, 6)
             # Rounded twice: a sum's last bits must not decide a value that ends in an exact half.
-            value = F.round(column.cast("decimal(38,8)"), digits).cast("double")
-            column = F.when(value == 0, 0.0).otherwise(value)  # no negative zero
+            # No negative zero: 0.0 is added, as a condition would compute the value twice.
+            column = F.round(column.cast("decimal(38,8)"), digits).cast("double") + F.lit(0.0)
         elif isinstance(field.dataType, IntegerType):
             column = column.cast("long")
         elif isinstance(field.dataType, TimestampType):

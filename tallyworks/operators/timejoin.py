@@ -3,7 +3,8 @@
 Neither operator pairs up rows. Ticks and probe instants of the same key meet in short time bins,
 where one ordered pass answers every probe; what a probe needs from earlier bins is a single row or total
 per bin. Probes are reduced to distinct instants first: many orders that start at
-the market open cost one probe.
+the market open cost one probe. ``keys`` may hold the key and the times themselves, which lets a caller ask once for
+all rows that ask the same.
 """
 
 from __future__ import annotations
@@ -44,7 +45,7 @@ def asof_lookup(
     """
     prefixes = list(targets)
     probes = left.select(
-        *keys, F.col(by), F.posexplode(F.array(*[F.col(targets[p]) for p in prefixes])).alias("_slot", "_at")
+        *dict.fromkeys([*keys, by]), F.posexplode(F.array(*[F.col(targets[p]) for p in prefixes])).alias("_slot", "_at")
     ).filter(F.col(by).isNotNull() & F.col("_at").isNotNull())
     instants = probes.select(by, "_at").distinct().withColumn("_bin", _bin_start(F.col("_at"), bin_seconds))
 
@@ -165,7 +166,7 @@ def interval_vwap(
     width = bin_seconds * 1_000_000
     units = (ceil(86_400 / bin_seconds), 0)
     bounds = left.filter(F.col(by).isNotNull() & (F.col(start) <= F.col(end))).select(
-        *keys, by, F.unix_micros(start).alias("_lo"), F.unix_micros(end).alias("_hi")
+        *dict.fromkeys([*keys, by]), F.unix_micros(start).alias("_lo"), F.unix_micros(end).alias("_hi")
     )
     # A start comes before the ticks of its instant, an end after them.
     cut = lambda name, side: F.struct(F.col(name).alias("_index"), F.lit(side).alias("_side"))

@@ -185,3 +185,44 @@ def test_raw_quotes_are_shuffled_once(spark, tmp_path):
     assert got[99].start_quote_timestamp == dt.datetime.combine(DAY, dt.time(17, 46, 39)) and got[99].end_quote_timestamp is None
     nodes = _nodes(spark, found._jdf.queryExecution().executedPlan())
     assert sum("quote_timestamp" in n.toString() for n in nodes if n.nodeName().startswith("Scan parquet")) == 1
+
+
+def test_orders_of_one_window_ask_the_market_once(spark, tmp_path):
+    """5,000 orders in ten windows, some without an end or a ticker: what is looked up grows with the windows."""
+    from tallyworks.plans import tca
+
+    _trading_day(spark, tmp_path, DAY)
+    quotes, trades = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("quotes", "trades"))
+    at = dt.datetime.combine(DAY, dt.time(15, 10))
+    window = lambda k: (at + dt.timedelta(seconds=7 * k), None if k == 3 else at + dt.timedelta(minutes=9, seconds=k))
+    rows = [(n, "c", None if n % 10 == 4 else "T", *window(n % 10)) for n in range(5_000)]
+    schema = "order_id int, client_id string, ticker string, EffectiveStartTime timestamp, EffectiveEndTime timestamp"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/orders")
+    orders = spark.read.parquet(f"{tmp_path}/orders")
+    for look_up, ticks, missing in ((tca.asof_quotes, quotes, {4}), (tca.market_interval_vwap, trades, {3, 4})):
+        found = look_up(orders, ticks)
+        got = {tuple(r)[0]: tuple(r)[2:] for r in found.collect()}
+        assert set(got) == {n for n in range(5_000) if n % 10 not in missing}
+        assert all(got[n] == got[n % 10] for n in got)
+        nodes = _nodes(spark, found._jdf.queryExecution().executedPlan())
+        asked = [n.metrics().apply("numOutputRows").value() for n in nodes if n.nodeName() == "Generate"]
+        assert asked and max(asked) <= 1_000
+    quoted = {r.order_id: r for r in tca.asof_quotes(orders, quotes).filter("order_id < 10").collect()}
+    assert quoted[3].start_quote_timestamp == window(3)[0] and quoted[3].end_quote_timestamp is None
+
+
+def test_report_shuffles_its_orders_only_for_many_windows(spark, small):
+    from tallyworks.plans import tca
+    from tallyworks.rules import TcaRules
+    from tallyworks.sinks import stage
+
+    i = Inputs(spark, small)
+    inputs = (i.parent_orders, i.order_events, i.quotes, i.trades, DAY)
+    reports = []
+    for rules, shuffled in ((TcaRules(), 0), (TcaRules(few_windows=0), 1)):
+        report = tca.tca_report(*inputs, rules, tie_break=("seq",), stage=stage)
+        reports.append(sorted(map(repr, report.collect())))
+        nodes = _nodes(spark, report._jdf.queryExecution().executedPlan())
+        assert sum(n.nodeName() == "Exchange" and "requested_shares" in n.output().toString() for n in nodes) == shuffled
+    plain = tca.tca_report(*inputs, tie_break=("seq",))
+    assert reports[0] == reports[1] == sorted(map(repr, plain.collect()))
